@@ -71,7 +71,7 @@ def main(argv):
     from tidewheel import get_spark
     queries, oracle = load_all()
     names = [q for q in queries if not argv or any(a in q for a in argv)]
-    spark = get_spark(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = get_spark(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                            "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
@@ -79,6 +79,7 @@ def main(argv):
     for n in names:
         t = time.time()
         try:
+            print(f"...  {n}", flush=True)
             msg, rows = compare(spark, con, queries[n], oracle.get(n), sf)
         except Exception as e:  # report and go on with the next query
             msg, rows = f"{type(e).__name__}: {str(e)[:1500]}", -1

@@ -183,15 +183,19 @@ def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str] = ("id",))
 # ------------------------------------------------------------------ exact order statistics
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], *,
-                    keys: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
-    """Exact linear-interpolation quantiles per key, one column per entry of ``probs``.
+                    keys: Sequence[str] = (), accuracy: int = 10000,
+                    kind: str = "linear") -> DataFrame:
+    """Exact quantiles per key, one column per entry of ``probs``.
+
+    ``kind="linear"`` interpolates at rank ``(n - 1) p``; ``"conformal"`` takes the value of rank
+    ``min(n, ceil((n + 1) p))``.
 
     A bounded sketch brackets each wanted rank; one more pass counts the rows below the bracket and
     keeps only the distinct values inside it.  No task ever holds the values of one key.
     """
     if not keys:  # one group: its single summary row is broadcast
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, keys=["_all"],
-                               accuracy=accuracy).drop("_all")
+                               accuracy=accuracy, kind=kind).drop("_all")
     keys = list(keys)
     names = list(probs)
     eps = 4.0 / accuracy
@@ -216,19 +220,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], *,
     ranked = inner.withColumn("_hi", F.sum("_c").over(run))
     p = F.element_at(F.array(*[F.lit(float(x)) for x in probs.values()]), F.col("i") + 1)
     # Multiplying by counts first keeps ranks such as 0.1 * 30 whole.
-    h = F.round((F.col("_n") - 1) * p, 9)
+    if kind == "linear":
+        h = F.round((F.col("_n") - 1) * p, 9)
+    else:
+        h = F.least(F.col("_n"), F.ceil(F.round((F.col("_n") + 1) * p, 9))) - 1
     want = edge.withColumn("_r", F.floor(h) + 1).withColumn("_f", h - F.floor(h))
     m = want.join(ranked, [*keys, "i"])
     lo_rank, hi_rank = F.col("_hi") - F.col("_c") + F.col("nb") + 1, F.col("_hi") + F.col("nb")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= lo_rank) & (rank <= hi_rank), F.col("_v")))
+        inside = F.max(F.when((rank >= lo_rank) & (rank <= hi_rank), F.col("_v")))
+        just_below = F.max(F.when(rank == F.col("nb"), F.col("vb")))
+        just_above = F.when(F.max(rank) == F.max(hi_rank) + 1, F.max("va"))
+        return F.coalesce(inside, just_below, just_above)
 
     nxt = F.col("_r") + F.when(F.col("_f") > 0, 1).otherwise(0)
-    got = m.groupBy(*keys, "i").agg(
-        F.max("_f").alias("_f"),
-        F.coalesce(at(F.col("_r")), F.max(F.when(F.col("_r") == F.col("nb"), F.col("vb")))).alias("_a"),
-        F.coalesce(at(nxt), F.max(F.when(nxt > F.col("nb"), F.col("va")))).alias("_b"))
+    got = m.groupBy(*keys, "i").agg(F.max("_f").alias("_f"), at(F.col("_r")).alias("_a"), at(nxt).alias("_b"))
     got = got.withColumn("_x", F.coalesce(
         F.col("_a") + F.col("_f") * (F.col("_b") - F.col("_a")),
         F.raise_error(F.lit("a quantile rank fell outside its bracket")).cast("double")))

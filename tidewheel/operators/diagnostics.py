@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from tidewheel.core import exact_quantiles, halo_select, join_params, step_index, step_start
 from tidewheel.operators.features import signature
@@ -47,7 +48,7 @@ def _cross(df, y, others, lags, keys):
         *keys, "series", "lag", "ccf", "bar")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _durbin_levinson(r: pd.Series) -> pd.Series:
     def one(rho):
         rho = np.asarray(rho, dtype=float)
