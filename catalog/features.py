@@ -151,18 +151,18 @@ def _(spark, sf):
 
 
 @query("seasonal_diagnostics", f"WITH {P.ORDER_DAYS}, p AS (SELECT id, 'wday' AS part, dayofweek(ts) + 1 AS level, y FROM od UNION ALL SELECT id, 'month', month(ts), y FROM od UNION ALL SELECT id, 'quarter', quarter(ts), y FROM od UNION ALL SELECT id, 'year', year(ts), y FROM od) "
-       "SELECT id, part, CAST(level AS INTEGER) AS level, count(*) AS n, round(avg(y), 2) AS mean, round(quantile_cont(y, 0.25), 3) AS q1, round(median(y), 3) AS median, round(quantile_cont(y, 0.75), 3) AS q3 FROM p GROUP BY 1, 2, 3")
+       "SELECT id, part, CAST(level AS INTEGER) AS level, count(*) AS n, round(avg(y), 2) AS mean, round(quantile_cont(y, 0.25), 4) AS q1, round(median(y), 4) AS median, round(quantile_cont(y, 0.75), 4) AS q3 FROM p GROUP BY 1, 2, 3")
 def _(spark, sf):
     d = D.seasonal_diagnostics(P.order_days(spark, sf), parts=["wday", "month", "quarter", "year"])
-    return d.select("id", "part", "level", "n", r("mean", 2), r("q1", 3), r("median", 3), r("q3", 3))
+    return d.select("id", "part", "level", "n", r("mean", 2), r("q1", 4), r("median", 4), r("q3", 4))
 
 
 @query("box_stats_by_quarter", f"WITH {P.ORDER_DAYS}, q AS (SELECT id, CAST(date_trunc('quarter', ts) AS TIMESTAMP) AS period, quantile_cont(y, 0.25) AS q1, median(y) AS median, quantile_cont(y, 0.75) AS q3 FROM od GROUP BY 1, 2), "
        "j AS (SELECT q.*, y, y BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM od JOIN q ON q.id = od.id AND q.period = date_trunc('quarter', ts)) "
-       "SELECT id, period, round(q1, 3) AS q1, round(median, 3) AS median, round(q3, 3) AS q3, round(min(CASE WHEN inside THEN y END), 3) AS lower, round(max(CASE WHEN inside THEN y END), 3) AS upper, count(CASE WHEN NOT inside THEN 1 END) AS n_out FROM j GROUP BY 1, 2, j.q1, j.median, j.q3")
+       "SELECT id, period, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(min(CASE WHEN inside THEN y END), 4) AS lower, round(max(CASE WHEN inside THEN y END), 4) AS upper, count(CASE WHEN NOT inside THEN 1 END) AS n_out FROM j GROUP BY 1, 2, j.q1, j.median, j.q3")
 def _(spark, sf):
     s, _ = D.box_stats(P.order_days(spark, sf), "quarter")
-    return s.select("id", "period", r("q1", 3), r("median", 3), r("q3", 3), r("lower", 3), r("upper", 3), "n_out")
+    return s.select("id", "period", r("q1", 4), r("median", 4), r("q3", 4), r("lower", 4), r("upper", 4), "n_out")
 
 
 STL = (", t0 AS (SELECT *, avg(y) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS t FROM base), s0 AS (SELECT id, k % 7 AS ph, avg(y - t) AS s FROM t0 GROUP BY 1, 2), "
@@ -179,9 +179,9 @@ def _(spark, sf):
 
 @query("impute_linear", f"WITH {P.ORDER_DAYS_SPARSE}, i AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN k END IGNORE NULLS) OVER b AS pk, last_value(y IGNORE NULLS) OVER b AS py, first_value(CASE WHEN y IS NOT NULL THEN k END IGNORE NULLS) OVER a AS nk, first_value(y IGNORE NULLS) OVER a AS ny FROM od "
        "WINDOW b AS (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) "
-       "SELECT id, ts, round(CASE WHEN y IS NOT NULL THEN y ELSE py + (k - pk) / CAST(nk - pk AS DOUBLE) * (ny - py) END, 3) AS y FROM i")
+       "SELECT id, ts, round(CASE WHEN y IS NOT NULL THEN y ELSE py + (k - pk) / CAST(nk - pk AS DOUBLE) * (ny - py) END / 7, 4) AS y FROM i")
 def _(spark, sf):
-    return DC.impute(P.order_days_sparse(spark, sf)).select("id", "ts", r("y", 3))
+    return DC.impute(P.order_days_sparse(spark, sf)).select("id", "ts", r(F.col("y") / 7, 4, "y"))
 
 
 @query("impute_seasonal")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.core import exact_quantiles, join_params, with_neighbours
 from tidewheel.operators.windows import augment, loess, slide
+from tidewheel.session import cut_lineage
 
 
 def season_means(df: DataFrame, value: Column, period: int, keys: Sequence[str]) -> DataFrame:
@@ -23,12 +24,14 @@ def stl(df: DataFrame, y: str = "y", period: int = 7, *, keys: Sequence[str] = (
     """Add ``season, trend, remainder, seasadj``: two passes of (trend, phase means).
 
     ``trend`` is a centred rolling mean over one period, or ``"loess"``/``"median"`` over
-    ``trend_period`` for the final pass.  The season is periodic.
+    ``trend_period`` for the final pass.  The season is periodic.  The lineage is cut between the
+    passes: both read the first pass twice, and callers stack decompositions.
     """
     d = df.withColumn("_phase", F.pmod("k", F.lit(period)))
     d = augment(d, keys=keys, _t=slide(y, period, F.avg, "center", partial=True))
     s1 = season_means(d, F.col(y) - F.col("_t"), period, keys)
     d = d.drop("_t").join(s1, [*keys, "_phase"]).withColumn("_sa", F.col(y) - F.col("_s")).drop("_s")
+    d = cut_lineage(d)
     width = trend_period or period
     final = {"mean": lambda: slide("_sa", width, F.avg, "center", partial=True),
              "median": lambda: slide("_sa", width, F.median, "center", partial=True),
@@ -82,8 +85,8 @@ def clean(df: DataFrame, y: str = "y", period: int = 7, out: str | None = None,
           keys: Sequence[str] = ("id",)) -> DataFrame:
     """Replace remainder outliers by interpolation; fill NULLs first."""
     out = out or y
-    d = impute(df, y, period, "_full", keys=keys)
-    f = outlier_flags(d, "_full", period, 3.0, keys=keys)
+    d = cut_lineage(impute(df, y, period, "_full", keys=keys))
+    f = cut_lineage(outlier_flags(d, "_full", period, 3.0, keys=keys))
     f = f.withColumn("_keep", F.when(F.col("outlier") == 0, F.col("_full")))
     f = f.drop("season", "trend", "remainder", "seasadj", "rem_l1", "rem_l2", "outlier")
     return impute(f, "_keep", period, "_clean", keys=keys).withColumn(out, F.col("_clean")).drop(
