@@ -86,7 +86,7 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
     poly = _diff_poly(d0, D0, period)
     ar = sorted({l for o in orders for l in o.lags(period)[0]})
     ma = sorted({l for o in orders for l in o.lags(period)[1]})
-    long = list(range(1, min(L.NARROW, max(2 * period, 10)) + 1))
+    long = list(range(1, min(14, max(2 * period, 10)) + 1))
     base = train.select(*keys, "k", "ts", F.col(y).cast("double").alias("_y"))
     steps = {f"_p{i}": lag("_y", i) for i in range(1, len(poly)) if poly[i]}
     w = F.col("_y")
@@ -98,7 +98,7 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
     need = sorted(set(long) | set(ar))
     d = augment(d, keys=keys, **{f"_w{i}": lag("_w", i) for i in need})
     d = cut_lineage(d)
-    m1 = L.fit(d, "_w", [f"_w{i}" for i in long], keys=keys, ridge=1e-6)
+    m1 = cut_lineage(L.fit(d, "_w", [f"_w{i}" for i in long], keys=keys, ridge=1e-6))
     d = L.predict(d, m1, [f"_w{i}" for i in long], keys=keys, out="_h")
     d = d.withColumn("_e", F.col("_w") - F.col("_h")).drop("_h", *[f"_w{i}" for i in need if i not in ar])
     d = augment(d, keys=keys, **{f"_e{i}": lag("_e", i) for i in ma}) if ma else d
@@ -106,7 +106,8 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
     xs = [f"_w{i}" for i in ar] + [f"_e{i}" for i in ma]
     cands = [[xs.index(f"_w{i}") for i in o.lags(period)[0]] + [xs.index(f"_e{i}") for i in o.lags(period)[1]] for o in orders]
     g = L.gram(d, "_w", xs, list(keys))
-    model = g.select(*keys, "n", _subset_solver(cands, len(xs))("n", "means", "cov").alias("_f")).select(*keys, "n", "_f.*")
+    model = cut_lineage(g.select(*keys, "n", _subset_solver(cands, len(xs))("n", "means", "cov").alias("_f"))
+                        .select(*keys, "n", "_f.*"))
     d = L.predict(d, model, xs, keys=keys, out="_p")
     d = d.withColumn("_e2", F.coalesce(F.col("_w") - F.col("_p"), F.lit(0.0))).withColumn(
         "fitted", F.col("_y") - (F.col("_w") - F.col("_p"))).drop(*xs, "_p")

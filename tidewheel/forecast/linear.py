@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewheel.core import join_params
 
 # Up to this many regressors the cross products are plain covariance aggregates.
-NARROW = 14
+NARROW = 5
 
 _FIT = "struct<coef:array<double>,intercept:double,r2:double,sigma2:double,status:string>"
 
@@ -54,8 +54,8 @@ def _solver(k: int, ridge: Sequence[float] | float):
 def gram(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """``keys, n, means, cov`` of (xs, y) over complete rows."""
     cols = [*xs, y]
-    d = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
     if len(xs) <= NARROW:
+        d = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
         pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
         a = d.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in cols]).alias("means"),
@@ -64,29 +64,35 @@ def gram(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataF
         full = F.array(*[F.col("_c")[at[(min(i, j), max(i, j))]]
                          for i in range(len(cols)) for j in range(len(cols))])
         return a.select(*keys, "n", "means", full.alias("cov"))
-    # Wide: centre first, let numpy multiply each Arrow batch, sum the small matrices in Spark.
-    m = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in cols]).alias("means"))
-    key_fields = [d.schema[k] for k in keys]
+    # Wide: one array column; numpy works each Arrow batch, Spark adds the small arrays up.
+    # Two passes, so that the products are centred.
+    d = df.select(*keys, F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+    d = d.where(~F.exists("_x", lambda v: v.isNull()))
+    sums = _sum_arrays(d, keys, lambda x: np.append(len(x), x.sum(axis=0)))
+    m = sums.select(*keys, F.col("_a")[0].cast("bigint").alias("n"), F.transform(
+        F.slice("_a", 2, len(cols)), lambda v: v / F.col("_a")[0]).alias("means"))
     cent = join_params(d, m.select(*keys, "means"), keys).select(
-        *keys, *[(F.col(c) - F.col("means")[i]).alias(c) for i, c in enumerate(cols)])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields) + ", _m array<double>"
-    names, by = list(cols), list(keys)
+        *keys, F.zip_with("_x", "means", lambda v, c: v - c).alias("_x"))
+    prods = _sum_arrays(cent, keys, lambda x: (x.T @ x).ravel())
+    return m.join(prods, list(keys)).select(*keys, "n", "means", F.transform(
+        "_a", lambda v: v / F.col("n")).alias("cov"))
 
-    def products(batches):
+
+def _sum_arrays(d: DataFrame, keys: Sequence[str], fn) -> DataFrame:
+    """Per key the element-wise sum of ``fn(rows)`` over all batches: combined before the shuffle."""
+    by = list(keys)
+    fields = ", ".join(f"`{k}` {d.schema[k].dataType.simpleString()}" for k in by)
+
+    def part(batches):
         for pdf in batches:
             if len(pdf):
-                out = []
-                for key, g in pdf.groupby(by, sort=False):
-                    x = g[names].to_numpy()
-                    out.append((*key, (x.T @ x).ravel()))
-                yield pd.DataFrame(out, columns=[*by, "_m"])
+                yield pd.DataFrame([(*key, fn(np.vstack(g["_x"].to_numpy())).astype(float))
+                                    for key, g in pdf.groupby(by, sort=False)], columns=[*by, "_a"])
 
-    cells = (cent.mapInPandas(products, schema).select(*keys, F.posexplode("_m").alias("p", "v"))
-                 .groupBy(*keys, "p").agg(F.sum("v").alias("v")))
-    mat = cells.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))),
-                                               lambda s: s["v"]).alias("_m"))
-    return m.join(mat, list(keys)).select(*keys, "n", "means", F.transform(
-        "_m", lambda v: v / F.col("n")).alias("cov"))
+    cells = (d.mapInPandas(part, f"{fields}, _a array<double>").select(*by, F.posexplode("_a").alias("p", "v"))
+              .groupBy(*by, "p").agg(F.sum("v").alias("v")))
+    return cells.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))),
+                                              lambda s: s["v"]).alias("_a"))
 
 
 def fit(df: DataFrame, y: str, xs: Sequence[str], *, keys: Sequence[str] = ("id",),
@@ -103,9 +109,8 @@ def fit(df: DataFrame, y: str, xs: Sequence[str], *, keys: Sequence[str] = ("id"
 def predict(df: DataFrame, model: DataFrame, xs: Sequence[str], *, keys: Sequence[str] = ("id",),
             out: str = "prediction") -> DataFrame:
     m = model.select(*keys, F.col("coef").alias("_coef"), F.col("intercept").alias("_b0"))
-    value = F.col("_b0")
-    for i, x in enumerate(xs):
-        value = value + F.col("_coef")[i] * F.col(x).cast("double")
+    terms = F.zip_with("_coef", F.array(*[F.col(x).cast("double") for x in xs]), lambda c, v: c * v)
+    value = F.col("_b0") + F.aggregate(terms, F.lit(0.0), lambda a, v: a + v)
     return join_params(df, m, keys).withColumn(out, value).drop("_coef", "_b0")
 
 

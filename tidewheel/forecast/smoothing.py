@@ -87,7 +87,7 @@ def fit(train: DataFrame, y: str = "y", period: int = 1, grid: Sequence[Params]
     b = d.groupBy(*keys).agg(F.min("k").alias("_k0"), F.max("k").alias("last_k"), F.count("_y").alias("n"))
     head = join_params(d, b, keys).where(F.col("k") < F.col("_k0") + 2 * period)
     starts = head.groupBy(*keys, "_k0").agg(F.array_sort(F.collect_list(F.struct("k", "_y"))).alias("_h")).select(
-        *keys, chunk_of("_k0", size).alias("_chunk"), F.transform("_h", lambda s: s["k"]).alias("_hk"),
+        *[F.col(k).alias(f"_s_{k}") for k in keys], chunk_of("_k0", size).alias("_s_chunk"), F.transform("_h", lambda s: s["k"]).alias("_hk"),
         F.transform("_h", lambda s: F.coalesce(s["_y"], F.lit(float("nan")))).alias("_hy"))
     fields = ", ".join(f"`{k}` {train.schema[k].dataType.simpleString()}" for k in keys)
     names = list(keys)
@@ -105,7 +105,8 @@ def fit(train: DataFrame, y: str = "y", period: int = 1, grid: Sequence[Params]
                             columns=[*names, "_chunk", "p", "m", "q"])
 
     left = d.withColumn("_chunk", chunk_of("k", size))
-    pieces = left.groupBy(*keys, "_chunk").cogroup(starts.groupBy(*keys, "_chunk")).applyInPandas(
+    pieces = left.groupBy(*keys, "_chunk").cogroup(
+        starts.groupBy(*[f"_s_{k}" for k in keys], "_s_chunk")).applyInPandas(
         piece, f"{fields}, _chunk bigint, p int, m array<double>, q array<double>")
 
     def chain(key, pdf):

@@ -26,7 +26,7 @@ Base = Callable[[DataFrame, DataFrame], DataFrame]  # forecasts column ``y``
 def with_regressors(train: DataFrame, future: DataFrame, xs: Sequence[str], base: Base, y: str = "y",
                     ridge: Sequence[float] | float = 1e-6, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Regress on ``xs`` (present in both frames), forecast the residual with ``base``, add up."""
-    model = L.fit(train, y, xs, keys=keys, ridge=ridge)
+    model = cut_lineage(L.fit(train, y, xs, keys=keys, ridge=ridge))
     res = L.predict(train, model, xs, keys=keys, out="_p").select(
         *keys, "k", "ts", (F.col(y) - F.col("_p")).alias("y")).where(F.col("y").isNotNull())
     rest = base(cut_lineage(res), future)
