@@ -1 +1,171 @@
+"""Queries for global learners, recursion, boosted residuals, stacking and tuning."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query
+from catalog import panels as P
+from catalog.panels import r
+from tidewheel.forecast import arima as A
+from tidewheel.forecast import ensemble as EN
+from tidewheel.forecast import learners as M
+from tidewheel.forecast import structural as ST
+from tidewheel.operators import features as FT
+from tidewheel.operators import timeverbs as T
+from tidewheel.operators import windows as W
+from tidewheel.plans import resample as R
+from tidewheel.plans.recipes import Recipe
+from tidewheel.session import cut_lineage
+
+_SEAS = ["sin7_k1", "cos7_k1", "sin365_k1", "cos365_k1"]
+_IDS = [f"id_{i}" for i in range(1, 6)]
+XS = ["trend", *_SEAS, *_IDS, "y_lag56", "y_roll"]
+
+
+def calendar(d):
+    ids = {f"id_{i}": F.when(F.substring("id", 1, 1) == str(i), 1.0).otherwise(0.0) for i in range(1, 6)}
+    return d.withColumns({"trend": F.col("k") / 1000.0, **FT.fourier_terms([7, 365], 1), **ids})
+
+
+def prepared(spark, sf):
+    """Training rows and the future frame with calendar, id and lag-56 features."""
+    d = P.order_days(spark, sf).select("id", "k", "ts", (F.col("y") / 1e5).alias("y"))
+    full = T.future_frame(d, "day", 56, bind=True)
+    full = W.augment(full, y_lag56=W.lag("y", 56))
+    full = W.augment(full, y_roll=W.slide("y_lag56", 30, partial=True))
+    full = cut_lineage(calendar(full))
+    return full.where("y IS NOT NULL AND y_lag56 IS NOT NULL"), full.where("y IS NULL")
+
+
+def _out(d, name="prediction"):
+    return d.select("id", "ts", r(name, 4, "prediction"))
+
+
+def _register(name, build):
+    @query(name)
+    def _(spark, sf, build=build):
+        train, fut = prepared(spark, sf)
+        return _out(build().fit(train).transform(fut))
+
+
+_register("linear_regression_global", lambda: M.linear(XS))
+_register("ridge_regression", lambda: M.linear(XS, penalty=0.1))
+_register("lasso_regression", lambda: M.linear(XS, penalty=0.01, mixture=1.0))
+_register("elastic_net_regression", lambda: M.linear(XS, penalty=0.01, mixture=0.5))
+_register("hinge_regression", lambda: M.hinge_regression(["trend", "y_lag56", "y_roll"]))
+_register("kernel_linear", lambda: M.kernel_poly(["trend", *_SEAS, "y_lag56", "y_roll"], degree=1))
+_register("kernel_polynomial", lambda: M.kernel_poly(["trend", *_SEAS, "y_lag56", "y_roll"]))
+_register("kernel_rbf", lambda: M.kernel_rbf(["trend", *_SEAS, "y_lag56", "y_roll"], n=30))
+_register("random_forest_global", lambda: M.forest(XS, trees=10))
+_register("boosted_trees_global", lambda: M.boosted(XS, trees=10))
+_register("model_tree_committees", lambda: M.ModelTree(["trend", *_SEAS, "y_lag56", "y_roll"]))
+
+
+@query("linear_recipe_forecast")
+def _(spark, sf):
+    """Recipe (normalised trend, weekday dummies, natural spline) learned on training rows only."""
+    train, fut = prepared(spark, sf)
+    cols = ["id", "k", "ts", "y", "trend", "y_lag56"]
+    rec = (Recipe("y", {"id": "id", "k": "index", "ts": "index"}).step_naomit("y_lag56").step_signature("ts", ["wday"])
+           .step_dummy("wday").step_ns("trend", 3).step_normalize("^y_lag"))
+    fit = rec.fit(train.select(*cols))
+    return _out(M.linear(fit.predictors()).fit(fit.juice).transform(fit.transform(fut.select(*cols))))
+
+
+@query("knn_regression")
+def _(spark, sf):
+    train, fut = prepared(spark, sf)
+    return _out(M.knn(train, fut, ["sin7_k1", "cos7_k1", "sin365_k1", "cos365_k1", "y_roll"], k=50))
+
+
+@query("feature_importance")
+def _(spark, sf):
+    train, _ = prepared(spark, sf)
+    return M.importance(M.boosted(XS, trees=5).fit(train), XS, spark).withColumn("importance", F.round("importance", 4))
+
+
+@query("arima_boosted_residuals")
+def _(spark, sf):
+    train, fut = prepared(spark, sf)
+    order = [A.Order(1, 1, 1)]
+    _, rows, _, _ = A.fit(train, order)
+    fitted = cut_lineage(rows.select("id", "k", "fitted").join(train, ["id", "k"]))
+    return _out(M.boost_residuals(fitted, A.forecast(train, fut, order), fut, ["trend", *_SEAS, "y_lag56"]))
+
+
+@query("additive_boosted_residuals")
+def _(spark, sf):
+    train, fut = prepared(spark, sf)
+    fc, fitted = ST.additive(train, fut, n_change=10, with_fitted=True)
+    return _out(M.boost_residuals(cut_lineage(fitted), fc, fut, ["trend", *_SEAS, "y_lag56"]))
+
+
+_LAGS = [7, 14, 28]
+
+
+def _recursive(spark, sf, builds):
+    d = P.order_days(spark, sf).select("id", "k", "ts", (F.col("y") / 1e5).alias("y"))
+    train = cut_lineage(calendar(W.augment_lags(d, ["y"], _LAGS)).dropna())
+    xs = ["trend", *_SEAS, *[f"y_lag{l}" for l in _LAGS]]
+    models = [b(xs).fit(train) for b in builds]
+    return _out(M.recursive(train, T.future_frame(d, "day", 28), _LAGS, models, calendar))
+
+
+@query("recursive_boosted_panel")
+def _(spark, sf):
+    return _recursive(spark, sf, [lambda xs: M.boosted(xs, trees=5)])
+
+
+@query("recursive_ensemble")
+def _(spark, sf):
+    return _recursive(spark, sf, [lambda xs: M.linear(xs), lambda xs: M.forest(xs, trees=5)])
+
+
+@query("recursive_linear_per_id")
+def _(spark, sf):
+    d = P.order_days(spark, sf).select("id", "k", "ts", (F.col("y") / 1e5).alias("y"))
+    return _out(M.recursive_linear(d, T.future_frame(d, "day", 56), [1, 2, 7, 14, 30]))
+
+
+_SUB = {"lm": M.linear, "rf": lambda xs: M.forest(xs, trees=5)}
+
+
+def _stacked(spark, sf, meta):
+    train, fut = prepared(spark, sf)
+    train = R.vfold(train, 3)
+    return M.stack(train, fut, {n: b(XS) for n, b in _SUB.items()}, meta, folds=range(3))
+
+
+@query("stacked_elastic_net")
+def _(spark, sf):
+    return _out(_stacked(spark, sf, M.linear(list(_SUB), penalty=0.01, mixture=0.5)))
+
+
+@query("stacked_boosted")
+def _(spark, sf):
+    return _out(_stacked(spark, sf, M.boosted(list(_SUB), trees=5)))
+
+
+@query("multi_level_stack")
+def _(spark, sf):
+    """Weighted average of two stacks."""
+    a = _stacked(spark, sf, M.linear(list(_SUB))).withColumn("model_id", F.lit("a"))
+    b = _stacked(spark, sf, M.forest(list(_SUB), trees=5)).withColumn("model_id", F.lit("b"))
+    cols = ["id", "k", "ts", "model_id", "prediction"]
+    return _out(EN.weighted(a.select(*cols).unionByName(b.select(*cols)), {"a": 3, "b": 1}))
+
+
+@query("tune_latin_hypercube")
+def _(spark, sf):
+    train, _ = prepared(spark, sf)
+    points = M.grid_points({"penalty": (1e-3, 1.0), "mixture": (0.0, 1.0)}, 3, log=["penalty"])
+    t = M.tune(R.vfold(train, 3), lambda p: M.linear(XS, penalty=p["penalty"], mixture=p["mixture"]), points)
+    return t.select("set", r("rmse", 3), r("mae", 3))
+
+
+@query("automl_leaderboard")
+def _(spark, sf):
+    train, _ = prepared(spark, sf)
+    cands = {"lm": M.linear(XS), "lasso": M.linear(XS, penalty=.01, mixture=1.0), "rf": M.forest(XS, trees=5), "gbt": M.boosted(XS, trees=5)}
+    return M.leaderboard(R.vfold(train, 2), cands, folds=range(2), exclude=["gbt"]).select("model", r("rmse", 3), r("mae", 3))
