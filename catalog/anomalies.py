@@ -1 +1,95 @@
+"""Queries for anomaly detection, series features and clustering."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query
+from catalog import panels as P
+from catalog.features import _BASE, _LIM
+from catalog.panels import r
+from tidewheel.operators import anomaly as AN
+from tidewheel.operators.tsfeatures import cluster, ts_features
+
+
+def _orders(spark, sf):
+    return P.order_days(spark, sf).drop("n")
+
+
+@query("anomaly_seasonal_remainder", f"{_BASE}{_LIM} SELECT stl.id, stl.ts FROM stl JOIN lim USING (id) WHERE NOT remainder BETWEEN q1 - 3 * (q3 - q1) AND q3 + 3 * (q3 - q1)")
+def _(spark, sf):
+    d = _orders(spark, sf)
+    return AN.seasonal_remainder(d).join(d, ["id", "k"]).select("id", "ts")
+
+
+_GESD = (f"WITH {P.ORDER_DAYS}, c AS (SELECT id, ts, k, n - avg(n) OVER (PARTITION BY id) AS c, count(*) OVER (PARTITION BY id) AS n FROM od), "
+         "t AS (SELECT *, sum(c * c) OVER (PARTITION BY id) AS ss, row_number() OVER (PARTITION BY id ORDER BY abs(c) DESC, k) AS i FROM c), "
+         "g AS (SELECT *, coalesce(sum(c) OVER w, 0) AS gone, coalesce(sum(c * c) OVER w, 0) AS gone2, CAST(n - i + 1 AS DOUBLE) AS lft FROM t WHERE i <= floor(n * 0.2) WINDOW w AS (PARTITION BY id ORDER BY abs(c) DESC, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), "
+         "v AS (SELECT *, -gone / lft AS mu, (ss - gone2 - gone * gone / lft) / (lft - 1) AS var, sqrt(-2 * ln(0.05 / (2 * lft))) AS q FROM g), "
+         "z AS (SELECT *, q - (2.515517 + 0.802853 * q + 0.010328 * q * q) / (1 + 1.432788 * q + 0.189269 * q * q + 0.001308 * q * q * q) AS z, lft - 2 AS df FROM v), "
+         "s AS (SELECT *, z + (z * z * z + z) / (4 * df) + (5 * pow(z, 5) + 16 * pow(z, 3) + 3 * z) / (96 * df * df) AS tq FROM z), "
+         "o AS (SELECT *, var > 0 AND abs(c - mu) / sqrt(var) > (lft - 1) * tq / sqrt((lft - 2 + tq * tq) * lft) AS over FROM s), "
+         "l AS (SELECT id, max(CASE WHEN over THEN i END) AS last FROM o GROUP BY 1) SELECT o.id, o.ts FROM o JOIN l USING (id) WHERE i <= last")
+
+
+@query("anomaly_gesd_counts", _GESD)
+def _(spark, sf):
+    d = P.order_days(spark, sf).withColumn("x", F.col("n").cast("double"))
+    return AN.gesd(d, "x").join(d, ["id", "k"]).select("id", "ts")
+
+
+@query("anomaly_decompose_gesd")
+def _(spark, sf):
+    return AN.decompose_gesd(_orders(spark, sf)).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("anomaly_sd_ewma", f"WITH RECURSIVE {P.EVENT_HOURS}, b AS (SELECT id, ts, y, row_number() OVER (PARTITION BY id ORDER BY k) AS i, least(floor(count(*) OVER (PARTITION BY id) * 0.15), 750) AS nt FROM eh), "
+       "f AS (SELECT id, avg(y) AS mean, var_pop(y) AS var FROM b WHERE i <= nt GROUP BY 1), "
+       "rr AS (SELECT id, CAST(0 AS BIGINT) AS i, CAST(NULL AS TIMESTAMP) AS ts, mean AS z, var AS v, 0 AS flag FROM f UNION ALL "
+       "SELECT rr.id, b.i, b.ts, z + 0.2 * (y - z), 0.05 * (y - z) * (y - z) + 0.95 * v, CASE WHEN b.i - 1 >= nt AND abs(y - z) > 3 * sqrt(greatest(v, 1e-12)) THEN 1 ELSE 0 END FROM rr JOIN b ON b.id = rr.id AND b.i = rr.i + 1) "
+       "SELECT id, ts FROM rr WHERE flag = 1")
+def _(spark, sf):
+    d = P.event_hours(spark, sf)
+    return AN.ewma_charts(d).where("sd_ewma = 1").join(d, ["id", "k"]).select("id", "ts")
+
+
+@query("anomaly_pewma")
+def _(spark, sf):
+    return AN.ewma_charts(P.event_hours(spark, sf)).groupBy("id").agg(*[F.sum(c).alias(c) for c in ("pewma", "two_stage")])
+
+
+@query("anomaly_knn_conformal")
+def _(spark, sf):
+    return AN.knn_conformal(P.event_hours(spark, sf)).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("anomaly_point_cost", f"WITH {P.EVENT_HOURS}, m AS (SELECT id, median(y) AS med, count(*) AS n FROM eh GROUP BY 1), a AS (SELECT eh.*, med, n, abs(y - med) AS a FROM eh JOIN m USING (id)), d AS (SELECT id, median(a) AS mad FROM a GROUP BY 1), "
+       "z AS (SELECT a.id, ts, n, pow((y - med) / (1.4826 * mad), 2) AS z2 FROM a JOIN d USING (id) WHERE mad > 0) SELECT id, ts FROM z WHERE z2 > 1 AND z2 - 1 - ln(z2) > 3 * ln(n)")
+def _(spark, sf):
+    d = P.event_hours(spark, sf)
+    return AN.point_cost(d).join(d, ["id", "k"]).select("id", "ts")
+
+
+@query("anomaly_knn_gap")
+def _(spark, sf):
+    d = _orders(spark, sf)
+    f = AN.knn_gap(d).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return d.select("id").distinct().join(f, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("anomaly_vote")
+def _(spark, sf):
+    d = AN.detect(_orders(spark, sf), ranking=["anomaly", "forecast"])
+    return d.withColumns({c: F.round(c, 6) for c in ("value", "score", "score_w")})
+
+
+@query("ts_features")
+def _(spark, sf):
+    f = ts_features(_orders(spark, sf), custom={"my_mean": F.avg})
+    return f.select("id", *[r(c, 5) if c not in ("ts_n", "ts_frequency") else F.col(c) for c in f.columns if c != "id"])
+
+
+@query("cluster_series")
+def _(spark, sf):
+    f = ts_features(_orders(spark, sf))
+    return cluster(f, ["ts_trend", "ts_seasonal_strength", "ts_entropy", "ts_x_acf1"]).select("id", "cluster")

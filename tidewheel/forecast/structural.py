@@ -122,7 +122,7 @@ def temporal_hierarchy(train: DataFrame, step: str, horizon_cycles: int, base: C
         block = d.groupBy(*keys, F.floor(F.col("_i") / s).alias("k")).agg(F.sum("y").alias("y"))
         block = block.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
         n = period // s
-        fut = last.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(horizon_cycles * n - 1))).cast("bigint").alias("k"))
+        fut = last.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(horizon_cycles * n - 1))).alias("k")).withColumn("k", F.col("k").cast("bigint"))
         fc = base(block, fut.withColumn("ts", F.lit(None).cast("timestamp_ntz")), n)
         part = fc.select(*keys, F.floor(F.col("k") / n).alias("_cycle"),
                          (F.pmod("k", F.lit(n)) + offset).alias("_node"), "prediction")
