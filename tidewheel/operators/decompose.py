@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.core import exact_quantiles, join_params, with_neighbours
-from tidewheel.operators.windows import augment, loess, slide
+from tidewheel.operators.windows import augment, loess, rolling_median, slide
 from tidewheel.session import cut_lineage
 
 
@@ -34,7 +34,7 @@ def stl(df: DataFrame, y: str = "y", period: int = 7, *, keys: Sequence[str] = (
     d = cut_lineage(d)
     width = trend_period or period
     final = {"mean": lambda: slide("_sa", width, F.avg, "center", partial=True),
-             "median": lambda: slide("_sa", width, F.median, "center", partial=True),
+             "median": lambda: slide("_sa", width, rolling_median, "center", partial=True),
              "loess": lambda: loess("_sa", width, 1)}[trend]()
     d = augment(d, keys=keys, trend=final)
     s2 = season_means(d, F.col(y) - F.col("trend"), period, keys)

@@ -44,6 +44,11 @@ def reach(period: int, align: str = "right") -> tuple[int, int]:
     return (period - 1) // 2, period // 2
 
 
+def rolling_median(c: Column) -> Column:
+    """Median that is allowed over a row frame."""
+    return F.percentile(c, F.lit(0.5))
+
+
 def slide(y: str, period: int, fn: Callable[[Column], Column] = F.avg, align: str = "right",
           partial: bool = False) -> Feature:
     """Rolling ``fn``; ``partial=False`` gives NULL where the window is cut."""
