@@ -22,8 +22,10 @@ def summarise_by_window(events: DataFrame, size: str, slide: str | None = None,
                         keys: Sequence[str] = ("id",), **aggs: Column) -> DataFrame:
     """Tumbling (or sliding) summary; windows close once the watermark has passed them."""
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))  # watermarks need an instant
     g = events.withWatermark(ts, late).groupBy(*keys, w.alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
-    return g.select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), *aggs)
+    return g.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("end"), *aggs)
 
 
 def enrich(events: DataFrame, calendar: DataFrame, on: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -35,7 +37,8 @@ def enrich(events: DataFrame, calendar: DataFrame, on: Sequence[str], cols: Sequ
 def online_flags(events: DataFrame, n_train: int = 50, y: str = "y") -> DataFrame:
     """EWMA control charts with a few numbers of state per key.
 
-    Rows of a micro-batch are put in time order before the state sees them; the first value seeds it.
+    A key's rows of one micro-batch (bounded by the source's per-trigger limit) are put in time order
+    before the state sees them; the first value seeds it.
     """
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values(["ts", y])
