@@ -33,7 +33,7 @@ def smoothing_sql(grid, period, where="ev", y="v"):
     else:
         start = ("st AS (SELECT id, max(CASE WHEN i = 1 THEN y END) AS f1, max(CASE WHEN i = 2 THEN y END) AS f2 FROM b WHERE i <= 2 GROUP BY 1), "
                  "ss AS (SELECT DISTINCT id, [0.0] AS s FROM b), ")
-        level, slope, season = "f1", "CASE WHEN phi > 0 THEN f2 - f1 ELSE 0 END", "s"
+        level, slope, season = "CASE WHEN phi > 0 THEN f1 - (f2 - f1) ELSE f1 END", "CASE WHEN phi > 0 THEN f2 - f1 ELSE 0 END", "s"
     upd = (f"list_transform(range(1, {m + 1}), lambda j: CASE WHEN j = CAST((b.k % {m}) + 1 AS INTEGER) THEN r.s[j] + gam * (b.y - (l + phi * t + r.s[j])) ELSE r.s[j] END)")
     e = f"(b.y - (l + phi * t + r.s[CAST((b.k % {m}) + 1 AS INTEGER)]))"
     return (f"WITH RECURSIVE {P.EVENT_DAYS}, b AS (SELECT id, k, {y} AS y, row_number() OVER (PARTITION BY id ORDER BY k) AS i FROM {where}), g(p, alpha, beta, gam, phi) AS (VALUES {g}), {start}"

@@ -26,7 +26,7 @@ def weighted(forecast: DataFrame, loadings: dict[str, float] | DataFrame, model_
         on = [c for c in ("model_id", "id") if c in loadings.columns]
         d = forecast.join(loadings, on)
     return d.groupBy("id", "k", "ts").agg(
-        (F.sum(F.col("loading") * F.col("prediction")) / F.sum("loading")).alias("prediction")).withColumn(
+        F.try_divide(F.sum(F.col("loading") * F.col("prediction")), F.sum("loading")).alias("prediction")).withColumn(
         "model_id", F.lit(model_id))
 
 

@@ -68,7 +68,8 @@ def _start(y, phase, period, par):
         level = np.nanmean(first) - slope * (period + 1) / 2
     else:
         known = y[np.isfinite(y)]
-        level, slope = known[0], known[1] - known[0] if len(known) > 1 else 0.0
+        slope = known[1] - known[0] if len(known) > 1 else 0.0
+        level = known[0] - slope
     m = np.zeros((len(par), 2 + period, 1))
     m[:, 0, 0] = level
     m[:, 1, 0] = np.where(par[:, 3] > 0, slope, 0.0)

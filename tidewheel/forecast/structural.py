@@ -52,7 +52,7 @@ def multi_season(train: DataFrame, future: DataFrame, periods: Sequence[float] =
 def additive_terms(bounds: DataFrame, df: DataFrame, n_change: int, change_range: float, seasons: dict[float, int],
                    keys: Sequence[str] = ("id",)) -> tuple[DataFrame, list[str], list[float]]:
     """Piecewise-linear trend hinges on the training range plus Fourier terms."""
-    u = (F.col("k") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    u = F.coalesce(F.try_divide(F.col("k") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
     cols = {"_u": u}
     for i in range(1, n_change + 1):
         cols[f"_c{i}"] = F.greatest(u - change_range * i / (n_change + 1), F.lit(0.0))

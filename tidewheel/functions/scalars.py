@@ -22,8 +22,9 @@ def dmy_hm(c: str | Column) -> Column:
 
 
 def log_interval(y, lower, upper, offset=0.0) -> Column:
+    """NULL outside the open interval."""
     z = col(y) + _c(offset)
-    return F.log((z - _c(lower)) / (_c(upper) - z))
+    return F.when((z > _c(lower)) & (z < _c(upper)), F.log(F.try_divide(z - _c(lower), _c(upper) - z)))
 
 
 def log_interval_inv(z, lower, upper, offset=0.0) -> Column:
@@ -31,7 +32,8 @@ def log_interval_inv(z, lower, upper, offset=0.0) -> Column:
 
 
 def standardize(y, mean, sd) -> Column:
-    return (col(y) - _c(mean)) / _c(sd)
+    """NULL for a constant series."""
+    return F.try_divide(col(y) - _c(mean), _c(sd))
 
 
 def standardize_inv(z, mean, sd) -> Column:
@@ -39,7 +41,8 @@ def standardize_inv(z, mean, sd) -> Column:
 
 
 def normalize(y, lo, hi) -> Column:
-    return (col(y) - _c(lo)) / (_c(hi) - _c(lo))
+    """NULL for a constant series."""
+    return F.try_divide(col(y) - _c(lo), _c(hi) - _c(lo))
 
 
 def normalize_inv(z, lo, hi) -> Column:

@@ -59,11 +59,11 @@ def gesd(df: DataFrame, x: str, alpha: float = 0.05, max_anomalies: float = 0.2)
             .where(F.col("_i") <= F.floor(F.col("_n") * max_anomalies)))
     left = (F.col("_n") - F.col("_i") + 1).cast("double")
     mean = -F.col("_gone") / left
-    var = (F.col("_ss") - F.col("_gone2") - left * mean * mean) / (left - 1)
-    stat = F.abs(F.col("_c") - mean) / F.sqrt(var)
-    t = _t_quantile(alpha / (2 * left), left - 2)
-    crit = (left - 1) * t / F.sqrt((left - 2 + t * t) * left)
-    r = r.withColumn("_over", (left > 2) & (var > 0) & (stat > crit))
+    var = F.try_divide(F.col("_ss") - F.col("_gone2") - left * mean * mean, left - 1)
+    stat = F.try_divide(F.abs(F.col("_c") - mean), F.sqrt(F.greatest(var, F.lit(0.0))))
+    t = _t_quantile(alpha / (2 * left), F.greatest(left - 2, F.lit(1.0)))
+    crit = F.try_divide((left - 1) * t, F.sqrt((left - 2 + t * t) * left))
+    r = r.withColumn("_over", F.coalesce((left > 2) & (var > 0) & (stat > crit), F.lit(False)))
     last = r.groupBy("id").agg(F.max(F.when(F.col("_over"), F.col("_i"))).alias("_last"))
     return r.join(last, "id").where(F.col("_i") <= F.col("_last")).select("id", "k")
 
@@ -188,7 +188,7 @@ def point_cost(df: DataFrame, prefix_only: bool = False, penalty: float = 3.0) -
     med = exact_quantiles(learn, "y", {"_med": .5}, keys=["id"])
     mad = exact_quantiles(join_params(learn, med, ["id"]).withColumn("_a", F.abs(F.col("y") - F.col("_med"))), "_a",
                           {"_mad": .5}, keys=["id"])
-    z2 = F.pow((F.col("y") - F.col("_med")) / (1.4826 * F.col("_mad")), F.lit(2))
+    z2 = F.pow(F.try_divide(F.col("y") - F.col("_med"), 1.4826 * F.col("_mad")), F.lit(2))
     j = join_params(join_params(d, med, ["id"]), mad, ["id"]).where("_mad > 0").withColumn("_z2", z2)
     return j.where((F.col("_z2") > 1) & (F.col("_z2") - 1 - F.log("_z2") > penalty * F.log("_n"))).select("id", "k")
 

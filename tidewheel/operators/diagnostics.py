@@ -42,7 +42,7 @@ def _cross(df, y, others, lags, keys):
     a = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums,
                              *[F.sum(F.col(c) * F.col(c)).alias(f"_q_{c}") for c in names])
     rows = [F.struct(F.lit(x).alias("series"), F.lit(l).alias("lag"),
-                     (F.col(f"_s{i}_{j}") / F.sqrt(F.col(f"_q_{y}") * F.col(f"_q_{x}"))).alias("ccf"))
+                     F.try_divide(F.col(f"_s{i}_{j}"), F.sqrt(F.col(f"_q_{y}") * F.col(f"_q_{x}"))).alias("ccf"))
             for i, x in enumerate(others) for j, l in enumerate(lags)]
     return a.select(*keys, (1.96 / F.sqrt("_n")).alias("bar"), F.inline(F.array(*rows))).select(
         *keys, "series", "lag", "ccf", "bar")
@@ -52,6 +52,8 @@ def _cross(df, y, others, lags, keys):
 def _durbin_levinson(r: pd.Series) -> pd.Series:
     def one(rho):
         rho = np.asarray(rho, dtype=float)
+        if not np.isfinite(rho).all():  # constant series
+            return [None] * (len(rho) - 1)
         phi, out = np.zeros(0), []
         for k in range(1, len(rho)):
             num = rho[k] - phi @ rho[k - 1:0:-1] if k > 1 else rho[1]

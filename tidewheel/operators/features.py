@@ -52,7 +52,7 @@ def fourier_terms(periods: Sequence[float], order: int, t: str | Column = "k") -
 
 
 def unit_range(x: str | Column, lo: str | Column, hi: str | Column) -> Column:
-    return (col(x) - col(lo)) / (col(hi) - col(lo))
+    return F.try_divide(col(x) - col(lo), col(hi) - col(lo))
 
 
 def b_spline(x: Column, knots: Sequence[Column | float] = (), degree: int = 3) -> list[Column]:

@@ -34,14 +34,14 @@ def ts_features(df: DataFrame, y: str = "y", period: int = 7, *, scale: bool = T
         *[F.sum(F.col("y") * F.sin(t * w)).alias(f"_s{i}") for i, w in enumerate(freqs)])
     power = F.array(*[F.pow(f"_c{i}", F.lit(2)) + F.pow(f"_s{i}", F.lit(2)) for i in range(n_freq)])
     base = base.withColumn("_p", power).withColumn("_t", F.aggregate("_p", F.lit(0.0), lambda a, v: a + v))
-    entropy = F.aggregate("_p", F.lit(0.0), lambda a, v: a - F.when(v > 0, v / F.col("_t") * F.log(v / F.col("_t"))).otherwise(0.0)
+    entropy = F.aggregate("_p", F.lit(0.0), lambda a, v: a - F.when(v > 0, F.try_divide(v, F.col("_t")) * F.log(F.try_divide(v, F.col("_t")))).otherwise(0.0)
                           ) / math.log(n_freq)
     ratio = lambda a, b: F.greatest(F.lit(0.0), 1 - F.col(a) / F.nullif(F.col(b), F.lit(0.0)))
     one = base.select("id", "n", "_vr", "_mr", *(custom or {}), F.lit(period).alias("frequency"),
                       ratio("_vr", "_vs").alias("trend"), ratio("_vr", "_vd").alias("seasonal_strength"), entropy.alias("entropy"))
     # Variance of the leave-one-out variances of the remainder.
     e2 = F.pow(F.col("remainder") - F.col("_mr"), F.lit(2))
-    loo = (F.col("n") * F.col("_vr") - e2 * F.col("n") / (F.col("n") - 1)) / (F.col("n") - 2)
+    loo = F.try_divide(F.col("n") * F.col("_vr") - F.try_divide(e2 * F.col("n"), F.col("n") - 1), F.col("n") - 2)
     spike = join_params(d.select("id", "remainder"), one.select("id", "n", "_vr", "_mr"), ["id"]).groupBy("id").agg(
         F.var_samp(loo).alias("spike"))
     a = acf(d, "y", max(10, period)).groupBy("id").agg(

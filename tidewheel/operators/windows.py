@@ -121,7 +121,7 @@ def loess(y: str, period: int, degree: int = 1) -> Feature:
     return Feature(half, half, build)
 
 
-def augment(df: DataFrame, *, keys: Sequence[str] = ("id",), pos: str = "k", size: int = CHUNK,
+def augment(df: DataFrame, /, *, keys: Sequence[str] = ("id",), pos: str = "k", size: int = CHUNK,
             **features: Feature) -> DataFrame:
     """Add all ``features`` in one pass: one shuffle, one sort, whatever their number."""
     before = max(f.before for f in features.values())
