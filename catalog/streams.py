@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from catalog import query
 from catalog import panels as P
 from catalog.panels import r, table
-from catalog.verbs import _folder
 from tidewheel.forecast import learners as M
+from tidewheel.session import new_folder
 from tidewheel.streaming import live as LV
 
 
@@ -21,14 +21,14 @@ def _events(spark, sf):
        "GROUP BY 1, 2 HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)")
 def _(spark, sf):
     d = LV.summarise_by_window(_events(spark, sf), "1 day", n=F.count(F.lit(1)), v=F.sum("y"))
-    return LV.run_to_table(d, _folder(spark)).select("id", "start", "n", r("v"))
+    return LV.run_to_table(d, new_folder(spark)).select("id", "start", "n", r("v"))
 
 
 @query("stream_sliding_week", "WITH e AS (SELECT event_type AS id, value, CAST(date_trunc('day', ts) AS TIMESTAMP) - CAST(j AS INTEGER) * INTERVAL 1 DAY AS start FROM events, (SELECT unnest(range(0, 7)) AS j)) "
        "SELECT id, start, round(avg(value), 5) AS mean FROM e WHERE start + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2")
 def _(spark, sf):
     d = LV.summarise_by_window(_events(spark, sf), "7 days", "1 day", mean=F.avg("y"))
-    return LV.run_to_table(d, _folder(spark)).select("id", "start", r("mean", 5))
+    return LV.run_to_table(d, new_folder(spark)).select("id", "start", r("mean", 5))
 
 
 @query("stream_static_enrichment", "WITH c AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS event FROM events WHERE event_type = 'signup' AND value > 100 GROUP BY 1) "
@@ -36,12 +36,12 @@ def _(spark, sf):
 def _(spark, sf):
     cal = table(spark, sf, "events").where("event_type = 'signup' AND value > 100").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("event"))
     d = LV.enrich(_events(spark, sf).withColumn("day", F.to_date("ts")), cal, ["day"], ["event"])
-    return LV.run_to_table(d.select("event_id", "event"), _folder(spark))
+    return LV.run_to_table(d.select("event_id", "event"), new_folder(spark))
 
 
 @query("stream_online_flags")
 def _(spark, sf):
-    d = LV.run_to_table(LV.online_flags(_events(spark, sf)), _folder(spark))
+    d = LV.run_to_table(LV.online_flags(_events(spark, sf)), new_folder(spark))
     return d.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("pewma", "sd_ewma", "two_stage")])
 
 
@@ -50,6 +50,6 @@ def _(spark, sf):
     prepare = lambda d: d.withColumns({"h": F.hour("ts").cast("double"), "wd": F.dayofweek("ts").cast("double")})
     train = prepare(table(spark, sf, "events").select("ts", F.col("value").alias("y")))
     model = M.linear(["h", "wd"]).fit(train)
-    out = _folder(spark)
+    out = new_folder(spark)
     LV.score_stream(_events(spark, sf), model, prepare, f"{out}/scored", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/scored").select("id", "ts", r("prediction"))

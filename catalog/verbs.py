@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,17 +15,10 @@ from tidewheel.operators import transforms as X
 from tidewheel.operators import verbs as V
 from tidewheel.operators import windows as W
 from tidewheel.sources import competition as C
+from tidewheel.session import new_folder
 from tidewheel.sources import io
 
 
-def _folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="tidewheel-")
-    import uuid
-    return f"{base.rstrip('/')}/tidewheel-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------ sources and sinks
 
 @query("read_snapshot", "SELECT event_type, count(*) AS n, round(sum(value), 3) AS v FROM events GROUP BY 1")
@@ -39,7 +30,7 @@ def _(spark, sf):
 @query("csv_round_trip_bind", "SELECT 'customer' AS src, c_nationkey AS nation, count(*) AS n, count(c_mktsegment) AS n_seg FROM customer GROUP BY 2 "
        "UNION ALL SELECT 'supplier', s_nationkey, count(*), 0 FROM supplier GROUP BY 2")
 def _(spark, sf):
-    out = _folder(spark)
+    out = new_folder(spark)
     io.write_snapshot(table(spark, sf, "customer").select(F.lit("customer").alias("src"), F.col("c_nationkey").alias("nation"), "c_mktsegment"),
                       f"{out}/a", "csv")
     io.write_snapshot(table(spark, sf, "supplier").select(F.lit("supplier").alias("src"), F.col("s_nationkey").alias("nation")),
@@ -51,7 +42,7 @@ def _(spark, sf):
 
 @query("artifact_params_round_trip", "SELECT event_type AS id, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd FROM events GROUP BY 1")
 def _(spark, sf):
-    out = _folder(spark)
+    out = new_folder(spark)
     p = X.scale_params(table(spark, sf, "events").withColumnRenamed("event_type", "id"), "value")
     io.save_artifacts(out, tables={"params": p})
     return io.load_table(spark, out, "params").select("id", r("mean", 6), r("sd", 6))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,18 +28,25 @@ def get_spark(app: str = "tidewheel", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder ``spark.checkpoint.dir``; a local session without one gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="tidewheel-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def new_folder(spark: SparkSession) -> str:
+    """Unused path inside the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tidewheel-{uuid.uuid4().hex}"
 
-    The folder is the cluster's; only a local session without one (tests) gets its own.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: later stages survive lost executors and plan from a leaf."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tidewheel-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
