@@ -205,3 +205,10 @@ def _(spark, sf):
        "SELECT id, ts, CASE WHEN x > 0 AND rn <= floor(n * 0.2) THEN 1 ELSE 0 END AS anomaly, round(season + trend + l1, 2) AS band_lower, round(season + trend + l2, 2) AS band_upper FROM h")
 def _(spark, sf):
     return DC.anomaly_diagnostics(P.order_days(spark, sf), alpha=0.05).select("id", "ts", "anomaly", r("band_lower", 2), r("band_upper", 2))
+
+
+@query("period_smoother_quarterly", f"WITH {P.ORDER_DAYS}, q AS (SELECT id, CAST(date_trunc('quarter', ts) AS TIMESTAMP) AS period, avg(y) AS mean FROM od GROUP BY 1, 2) "
+       "SELECT id, period, round(mean, 2) AS mean, round(mean - lag(mean) OVER (PARTITION BY id ORDER BY period), 2) AS change FROM q")
+def _(spark, sf):
+    s, _ = D.box_stats(P.order_days(spark, sf), "quarter")
+    return D.period_smoother(s, "mean").select("id", "period", r("mean", 2), r("change", 2))

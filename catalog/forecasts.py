@@ -169,3 +169,10 @@ def _(spark, sf):
     tag = lambda f, m: f.select("id", "k", "ts", F.lit(m).alias("model_id"), "prediction")
     fc = tag(S.ets(train, test, 7), "ets").unionByName(tag(A.forecast(train, test), "sarima")).unionByName(tag(ST.additive(train, test), "additive"))
     return E.accuracy(E.calibrate(fc, test)).select("model_id", "id", "n", *[r(m, 3) for m in E.METRICS])
+
+
+@query("smoothing_or_arima_forecast")
+def _(spark, sf):
+    d = _orders(spark, sf)
+    orders = [A.Order(0, 1, 1), A.Order(1, 1, 1), A.Order(1, 0, 1, 0, 1, 1)]
+    return _out(ST.smoothing_or_arima(d, T.future_frame(d, "day", 56), orders=orders))

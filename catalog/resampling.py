@@ -254,3 +254,26 @@ def _(spark, sf):
     f, s = _fc(spark, sf)
     acc = _round_acc(E.accuracy(E.calibrate(f, R.testing(s)), ["model_id"]))
     return EN.weighted(f, EN.rank_loadings(acc)).select("id", "ts", r("prediction", 5))
+
+
+@query("resample_native_forecaster", f"WITH {P.EVENT_DAYS}, m AS (SELECT id, ts, k, CAST(n AS DOUBLE) AS y, max(k) OVER () AS hi, min(k) OVER () AS lo FROM ev), s AS (SELECT unnest(range(0, 3)) AS i), "
+       "t AS (SELECT m.*, CAST(i + 1 AS INTEGER) AS slice, hi - i * 5 - 4 AS a FROM m, s WHERE k <= hi - i * 5 AND k >= hi - i * 5 - 4 - 14 AND hi - i * 5 - 4 - 14 >= lo), "
+       "f AS (SELECT te.slice, te.id, te.ts, te.y, tr.y AS p FROM t te JOIN t tr ON tr.slice = te.slice AND tr.id = te.id AND tr.k < tr.a AND tr.k >= tr.a - 7 AND te.k >= te.a AND tr.k % 7 = te.k % 7) "
+       "SELECT slice, id, count(*) AS n, round(sqrt(avg(pow(y - p, 2))), 6) AS rmse, round(avg(abs(y - p)), 6) AS mae FROM f GROUP BY 1, 2")
+def _(spark, sf):
+    """Every slice of every series in one job: (slice, id) is the key."""
+    cv = R.time_series_cv(_ev(spark, sf), "day", initial=14, assess=5, skip=5)
+    part = lambda r_: cv.where(F.col("role") == r_).drop("role")
+    fc = N.seasonal_naive(part("train"), part("test"), 7, keys=("slice", "id"))
+    d = fc.join(part("test").select("slice", "id", "k", "y"), ["slice", "id", "k"]).withColumn("e", F.col("y") - F.col("prediction"))
+    return d.groupBy("slice", "id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(F.col("e") * F.col("e"))), 6).alias("rmse"),
+                                        F.round(F.avg(F.abs("e")), 6).alias("mae"))
+
+
+@query("fit_status_report", "SELECT 'trend + doubled trend' AS model_id, o_orderpriority AS id, 'rank deficient' AS status FROM orders GROUP BY 2")
+def _(spark, sf):
+    from tidewheel.forecast import linear as L
+    d = P.order_days(spark, sf).withColumn("t", F.col("k").cast("double")).withColumn("t2", F.col("t") * 2)
+    good = L.fit(d, "y", ["t"]).select(F.lit("trend").alias("model_id"), "id", "status")
+    bad = L.fit(d, "y", ["t", "t2"]).select(F.lit("trend + doubled trend").alias("model_id"), "id", "status")
+    return E.status_report(good.unionByName(bad))

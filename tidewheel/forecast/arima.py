@@ -139,9 +139,9 @@ def _extend(h: int, poly: np.ndarray, ar: list[int], ma: list[int]):
     return udf, back
 
 
-def forecast(train: DataFrame, future: DataFrame, orders: Sequence[Order] = (Order(1, 1, 1, 1, 1, 1),), period: int = 7,
-             y: str = "y", keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
-    """Lowest AICc among ``orders`` per series, extended up to ``horizon`` cells past the data."""
+def search(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y",
+           keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
+    """``keys, last_k, path, score``: lowest AICc per observation among ``orders`` and its path."""
     groups: dict[tuple[int, int], list[Order]] = {}
     for o in orders:
         groups.setdefault((o.d, o.D), []).append(o)
@@ -152,9 +152,20 @@ def forecast(train: DataFrame, future: DataFrame, orders: Sequence[Order] = (Ord
         tail = last_cells(rows, back, keys).groupBy(*keys).agg(
             F.array_sort(F.collect_list(F.struct("k", F.col("_y").alias("y"), F.col("_w").alias("w"), F.col("_e2").alias("e")))).alias("_t"),
             F.max("k").alias("last_k"))
-        p = tail.join(model, list(keys)).select(*keys, "last_k", "aicc", udf("_t", "coef", "intercept").alias("path"))
+        p = tail.join(model, list(keys)).select(*keys, "last_k", (F.col("aicc") / F.col("n")).alias("score"), udf("_t", "coef", "intercept").alias("path"))
         parts = p if parts is None else parts.unionByName(p)
-    top = parts.groupBy(*keys).agg(F.min_by(F.struct("last_k", "path"), "aicc").alias("_b")).select(*keys, "_b.last_k", "_b.path")
+    return parts.groupBy(*keys).agg(F.min_by(F.struct("last_k", "path"), "score").alias("_b"),
+                                    F.min("score").alias("score")).select(*keys, "_b.last_k", "_b.path", "score")
+
+
+def forecast(train: DataFrame, future: DataFrame, orders: Sequence[Order] = (Order(1, 1, 1, 1, 1, 1),), period: int = 7,
+             y: str = "y", keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
+    """Best of ``orders`` per series, extended up to ``horizon`` cells past the data."""
+    return along(search(train, orders, period, y, keys, horizon), future, keys)
+
+
+def along(top: DataFrame, future: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Read the predictions for the future stamps off the paths."""
     value = F.try_element_at("path", (F.col("k") - F.col("last_k")).cast("int"))
     return join_params(future.select(*keys, "k", "ts"), top, keys).select(*keys, "k", "ts", value.alias("prediction"))
 

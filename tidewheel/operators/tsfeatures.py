@@ -54,7 +54,7 @@ def ts_features(df: DataFrame, y: str = "y", period: int = 7, *, scale: bool = T
 
 def cluster(features: DataFrame, cols: Sequence[str], k: int = 3, n_start: int = 5, seed: int = 123) -> DataFrame:
     """k-means on scaled feature rows; the cheapest of ``n_start`` seeds wins."""
-    v = VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip").transform(features)
+    v = VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip").transform(cut_lineage(features))
     v = StandardScaler(inputCol="_raw", outputCol="_v", withMean=True).fit(v).transform(v).cache()
     models = [KMeans(featuresCol="_v", predictionCol="cluster", k=k, seed=seed + i).fit(v) for i in range(n_start)]
     best = min(models, key=lambda m: m.summary.trainingCost)
