@@ -179,9 +179,9 @@ def _(spark, sf):
 
 @query("impute_linear", f"WITH {P.ORDER_DAYS_SPARSE}, i AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN k END IGNORE NULLS) OVER b AS pk, last_value(y IGNORE NULLS) OVER b AS py, first_value(CASE WHEN y IS NOT NULL THEN k END IGNORE NULLS) OVER a AS nk, first_value(y IGNORE NULLS) OVER a AS ny FROM od "
        "WINDOW b AS (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) "
-       "SELECT id, ts, round(CASE WHEN y IS NOT NULL THEN y ELSE py + (k - pk) / CAST(nk - pk AS DOUBLE) * (ny - py) END / 7, 4) AS y FROM i")
+       "SELECT id, ts, round(CASE WHEN y IS NOT NULL THEN y ELSE py + (k - pk) / CAST(nk - pk AS DOUBLE) * (ny - py) END, 6) AS y FROM i")
 def _(spark, sf):
-    return DC.impute(P.order_days_sparse(spark, sf)).select("id", "ts", r(F.col("y") / 7, 4, "y"))
+    return DC.impute(P.order_days_sparse(spark, sf)).select("id", "ts", r("y", 6))
 
 
 @query("impute_seasonal")
