@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import mixing, packing, tokens
+from tidewheel.llm import mixing, packing, quality, tokens, toxicity
 from tidewheel.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -37,3 +37,20 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_mix_sources"] = mixing.SQL
+
+
+@query
+def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(d, keep_text=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE["op8_quality_divergence"] = quality.SQL
+
+
+@query
+def op3_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))

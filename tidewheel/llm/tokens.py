@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from tidewheel.llm.base import small_batches, written
 
 PIECES = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary"
 #: Words whose ids a worker remembers; beyond that it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 class Encoder:
@@ -43,9 +44,10 @@ class Encoder:
         for i in range(0, len(plain), 4096):
             part = plain[i:i + 4096]
             ids = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cuts) == len(part):
-                self.known.update(zip(part, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
+                raw = ids.tobytes()
+                self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
             else:
                 other += part
         self.known.update(zip(other, self._each([c.decode() for c in other])))
@@ -58,10 +60,10 @@ class Encoder:
             raw = t.encode()
             # The special tokens' own spelling is matched before letters are lowered.
             split.append((raw if b"<|" in raw else raw.lower()).split())
-        new = {c for s in split for c in s if c not in known}
+        new = set().union(*split).difference(known)
         if new:
             tails = [c for c in new if len(c) > 1 and c[-1] in b".,;:!?" and c[-2:-1].isalnum()]
-            stems = (new.difference(tails) | {c[:-1] for c in tails} | {c[-1:] for c in tails}) - known.keys()
+            stems = (new.difference(tails) | {c[:-1] for c in tails} | {c[-1:] for c in tails}).difference(known)
             self._learn(sorted(stems))
             known.update((c, known[c[:-1]] + known[c[-1:]]) for c in tails)
         out = [b"".join(map(known.__getitem__, s)) for s in split]
@@ -70,6 +72,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, by_chunk: bool) -> Encoder:
+    """One per worker process: later tasks of the worker find the words it has learnt."""
+    return Encoder(path, by_chunk)
+
+
 def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True, end_id: int = 0) -> DataFrame:
     """One row per piece: ids of the document, then ``end_id``, cut every ``size`` ids.
 
@@ -79,9 +87,8 @@ def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True,
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = None, struct.pack("<I", end_id)
+        enc, end = encoder(path, by_chunk), struct.pack("<I", end_id)
         for b in batches:
-            enc = enc or Encoder(path, by_chunk)
             rows, ids, texts = (c.to_pylist() for c in b.columns)
             for lo in range(0, len(rows), 200):
                 out = []
