@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import mixing, packing, quality, tokens, toxicity
+from tidewheel.llm import mixing, neardup, packing, quality, tokens, toxicity
 from tidewheel.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -54,3 +54,9 @@ def op3_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                                               (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op1_odd_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
