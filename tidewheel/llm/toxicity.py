@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import small_batches, unit_hash
+from tidewheel.llm.base import small_batches, unit_hash, written
 
 SPACE = 1 << 22
 TOKEN = re.compile(rb"[a-z\x80-\xff]+")
@@ -57,7 +57,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 8, epochs:
     """Logistic loss, AdaGrad over mini-batches.  Terms enter whose presence depends on the label (chi squared)."""
     y = labels.astype(np.float64)
     n, pos = len(y), y.sum()
-    if not n or pos in (0, n):
+    if not n or pos in (0, n) or not sum(map(len, docs)):
         p = (pos + 1) / (n + 2)
         return Machine(np.empty(0, np.int64), np.empty(0), np.empty((0, factors)), float(np.log(p / (1 - p))))
     all_slots, which = np.unique(np.concatenate(docs), return_inverse=True)
@@ -107,8 +107,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, **how) -> Machine:
-    """A model from at most ``sample`` labelled documents outside the held-out third; only hashed terms reach the driver.
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2: float = 15.0, **how) -> Machine:
+    """A model from at most ``sample`` labelled documents outside the held-out third.
+
+    Spark counts the terms of the sample; only those that depend on the label reach the driver, where the fit runs.
 
     Repeated or contradicting labels of a document count as the larger one; null labels and ids are left out.
     """
@@ -124,10 +126,21 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, **how) ->
 
     # Bounded by ``sample`` rows of two numbers.
     chosen = docs.select("text", "doc_id").join(F.broadcast(known), "doc_id").select("text", F.col("toxic").cast("int"), F.col("doc_id").cast("bigint"))
-    got = chosen.mapInArrow(run, "terms array<bigint>, toxic int, doc_id bigint").toArrow().sort_by("doc_id")
+    found = written(chosen.mapInArrow(run, "terms array<bigint>, toxic int, doc_id bigint"))
+    n, pos = found.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    expected = F.col("n") * F.lit(pos / max(n, 1))
+    var = expected * F.lit(1 - pos / max(n, 1)) * (1 - F.col("n") / F.lit(float(max(n, 1)))) + F.lit(1e-9)
+    slots = set(found.select("toxic", F.explode("terms").alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits"))
+                .where(((F.col("hits") - expected) ** 2 / var >= min_chi2) & (F.col("n") >= 3)).select("slot").toArrow().column(0).to_pylist())
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.set_column(0, "terms", pa.array([[x for x in t if x in slots] for t in b.column(0).to_pylist()], pa.list_(pa.int64())))
+
+    got = found.mapInArrow(sift, found.schema).toArrow().sort_by("doc_id")
     column = got.column("terms").combine_chunks()
     flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], got.column("toxic").to_numpy(), **how)
+    return fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], got.column("toxic").to_numpy(), min_chi2=min_chi2, **how)
 
 
 def score(docs: DataFrame, model: Machine) -> DataFrame:
