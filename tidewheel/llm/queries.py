@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import mixing, neardup, packing, quality, tokens, toxicity
+from tidewheel.llm import chat, html, mixing, neardup, packing, quality, tokens, topk, toxicity, urls
 from tidewheel.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -60,3 +60,29 @@ def op3_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_odd_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op4_vector_approximation_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op4_vector_approximation_topk"] = topk.SQL
+
+
+@query
+def op5_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op7_collapse_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op7_collapse_conversations"] = chat.SQL
+
+
+@query
+def op9_url_neighbour_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
