@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import mixing, neardup, packing, quality, tokens, toxicity
-from tidewheel.llm.base import table, written
+from tidewheel.llm.base import boxed, table, written
 
 #: The machine's score from which a document is rejected.
 TOXIC = 0.7
@@ -15,12 +15,12 @@ TOXIC = 0.7
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; the machine learns from the labelled documents at hand."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence rules keep."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.judge(boxed(docs, "text", "lang"), keep_text=False).where("kept").select("_doc.*")
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

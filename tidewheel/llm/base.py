@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def boxed(docs: DataFrame, *needed: str) -> DataFrame:
+    """``needed`` columns beside the whole row as ``_doc``, so that added columns cannot clash with the row's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *needed)
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -190,6 +190,6 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The documents of which ``near_duplicates`` says ``first``: one of each component, with all columns of ``docs``."""
-    base = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    keep = near_duplicates(base, row="_row", **how).where("first").select(F.col("row").alias("_row"))
-    return base.join(keep, "_row", "left_semi").drop("_row")
+    base = written(docs.withColumn("_tw_row", F.monotonically_increasing_id()))
+    keep = near_duplicates(base, row="_tw_row", **how).where("first").select(F.col("row").alias("_tw_row"))
+    return base.join(keep, "_tw_row", "left_semi").drop("_tw_row")

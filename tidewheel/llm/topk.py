@@ -33,7 +33,8 @@ def cells(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def search(ids: np.ndarray, v: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """``query, vector, score`` of each query's k best of ``v`` but itself, ties to the smaller id.
 
-    Bounds are whole numbers: exact in doubles below 2**53, else scores are taken over all rows in int64.
+    Bounds are exact in doubles while scores stay below 2**51.  Beyond that all rows are scored in whole numbers of any
+    size; a score that a long cannot hold is given as the nearest long, ranked by its true value.
     """
     order = np.argsort(ids, kind="stable")
     ids, v = ids[order], v[order]
@@ -47,7 +48,7 @@ def search(ids: np.ndarray, v: np.ndarray, qids: np.ndarray, q: np.ndarray, k: i
         for n in range(len(part)):
             me, mine = qids[lo + n], q[lo + n]
             if not exact:
-                score, rows = v @ mine, np.flatnonzero(ids != me)
+                score, rows = v.astype(object) @ mine.astype(object), np.flatnonzero(ids != me)
             else:
                 upper = centre[n] + slack[n]
                 upper[ids == me] = -np.inf
@@ -64,7 +65,7 @@ def search(ids: np.ndarray, v: np.ndarray, qids: np.ndarray, q: np.ndarray, k: i
                     rows = np.concatenate([rows, new])
                     if len(rows) >= k:
                         kth = np.partition(score[rows], -k)[-k]
-            best = rows[np.lexsort((ids[rows], -score[rows]))][:k]
+            best = sorted(rows.tolist(), key=lambda r: (-score[r], ids[r]))[:k]
             out += [(int(me), int(ids[r]), int(score[r])) for r in best]
     return out
 
@@ -86,10 +87,13 @@ def top_k(df: DataFrame, *, k: int = 10, every: int = 100, scale: int = 1024, ve
 
     def run(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         got = search(x["vec_id"].to_numpy(), np.stack(x["v"].to_numpy()), q["vec_id"].to_numpy(), np.stack(q["v"].to_numpy()), k) if len(q) and len(x) else []
-        return pd.DataFrame(got, columns=["query_id", "vec_id", "score"], dtype="int64")
+        # The true score in two longs, so that blocks' results merge in its order whatever its size.
+        full = [(a, b, max(-(1 << 63), min((1 << 63) - 1, s)), s >> 62, s & ((1 << 62) - 1)) for a, b, s in got]
+        full = [(a, b, s, max(-(1 << 63), min((1 << 63) - 1, h)), lo) for a, b, s, h, lo in full]
+        return pd.DataFrame(full, columns=["query_id", "vec_id", "score", "high", "low"], dtype="int64")
 
-    found = left.groupBy("dim", "qb", "vb").cogroup(right.groupBy("dim", "qb", "vb")).applyInPandas(run, "query_id bigint, vec_id bigint, score bigint")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy("dim", "qb", "vb").cogroup(right.groupBy("dim", "qb", "vb")).applyInPandas(run, "query_id bigint, vec_id bigint, score bigint, high bigint, low bigint")
+    w = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

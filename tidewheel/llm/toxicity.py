@@ -143,22 +143,21 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2:
     return fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], got.column("toxic").to_numpy(), min_chi2=min_chi2, **how)
 
 
-def score(docs: DataFrame, model: Machine) -> DataFrame:
-    """``docs`` with ``score`` in [0, 1] of the whole text; null and empty texts get the score of no terms.
+def score(docs: DataFrame, model: Machine, name: str = "score") -> DataFrame:
+    """``docs`` with the score in [0, 1] of the whole text as column ``name``; null and empty texts get that of no terms.
 
     The model goes to the tasks with the code: it holds significant terms only, at most those of the training sample.
     """
     small_batches(docs.sparkSession)
     parts = (model.slots, model.w, model.v, model.w0)
-    schema = docs.drop("score")
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema) + ", score double"
+    d = docs.drop(name)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema) + f", `{name}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Machine(*parts)
         for b in batches:
-            texts = b.column(b.schema.get_field_index("_text")).to_pylist()
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
             got = pa.array([m.score(terms(t)) for t in texts], pa.float64())
-            rest = [n for n in b.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in rest], got], [*rest, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, name])
 
-    return schema.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, out)
+    return d.mapInArrow(run, out)

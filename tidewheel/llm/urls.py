@@ -51,8 +51,8 @@ def features(d: DataFrame) -> DataFrame:
     u = F.coalesce(F.col("url"), F.lit(""))
     d = d.withColumn("_suffix", F.substring_index("host", ".", -1)).withColumn("_ending", F.regexp_extract("path", r"(\.[A-Za-z0-9]{1,5}|/)$", 1))
     share = lambda c: d.groupBy(F.col(c).alias(f"{c}_k")).agg(F.count(F.lit(1)).alias(f"{c}_n"))
-    n = d.agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(share("_suffix"), F.col("_suffix") == F.col("_suffix_k"), "left").join(share("_ending"), F.col("_ending") == F.col("_ending_k"), "left").join(F.broadcast(n))
+    n = F.lit(float(max(1, d.count())))
+    d = d.join(share("_suffix"), F.col("_suffix") == F.col("_suffix_k"), "left").join(share("_ending"), F.col("_ending") == F.col("_ending_k"), "left")
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     return d.withColumns({
         "url_length": F.length(u), "host_length": F.length("host"), "path_length": F.length("path"),
@@ -60,7 +60,7 @@ def features(d: DataFrame) -> DataFrame:
         "entropy": F.when(F.length(u) > 0, entropy(u)).otherwise(0.0), "n_params": F.when(query == "", 0).otherwise(F.regexp_count(query, F.lit("&")) + 1),
         "n_labels": F.regexp_count("host", F.lit(r"[^.]+")), "n_hyphens": F.regexp_count("host", F.lit("-")),
         "has_fragment": F.contains(u, F.lit("#")).cast("int"), "https": u.startswith("https://").cast("int"),
-        "suffix_share": F.coalesce(F.col("_suffix_n") / F.col("_n"), F.lit(0.0)), "ending_share": F.coalesce(F.col("_ending_n") / F.col("_n"), F.lit(0.0)),
+        "suffix_share": F.coalesce(F.col("_suffix_n") / n, F.lit(0.0)), "ending_share": F.coalesce(F.col("_ending_n") / n, F.lit(0.0)),
     }).withColumns({f: F.col(f).cast("double") for f in FEATURES})
 
 
