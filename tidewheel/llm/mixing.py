@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import n_words, unit_hash
+from tidewheel.llm.base import boxed, n_words, unit_hash
 
 
 def source_targets(totals: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0) -> DataFrame:
@@ -27,9 +27,9 @@ def source_targets(totals: DataFrame, weights: Sequence[float] = (5, 2, 1), cap:
     left = F.sum("source_size").over(every) - F.coalesce(F.sum(cap_size).over(before), F.lit(0.0))
     level = left / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     t = t.withColumn("_cap", cap_size).withColumn("_level", level)
-    # From the first source that stays below its cap on, everyone gets that source's level.
-    open_level = F.min(F.when(F.col("_level") * F.col("w") < F.col("_cap"), F.struct(F.col("_cap") / F.col("w"), F.col("_level")))).over(every)
-    return t.select("source", "source_size", F.least("_cap", F.coalesce(open_level["_level"] * F.col("w"), F.col("_cap"))).alias("target"))
+    # Levels rise to the first source that stays below its cap and fall after it, so its level, everyone's, is the highest.
+    open_level = F.max(F.when(F.col("_level") * F.col("w") < F.col("_cap"), F.col("_level"))).over(every)
+    return t.select("source", "source_size", F.least("_cap", F.coalesce(open_level * F.col("w"), F.col("_cap"))).alias("target"))
 
 
 def mix_plan(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0, seed: int = 17, size: Column | None = None) -> DataFrame:
@@ -53,8 +53,8 @@ def mix_plan(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), cap: floa
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus: every document as often as planned, with the columns of ``docs``."""
-    plan = mix_plan(docs, **how)
-    return plan.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    plan = mix_plan(boxed(docs, "doc_id", "text", "source"), **how).where("copies > 0")
+    return plan.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
 
 
 #: DuckDB form of ``mix_plan`` over ``documents``, with the default weights, cap and seed.
