@@ -155,10 +155,12 @@ def test_packed_pieces_hold_the_ids(spark):
         assert b[1] == (a[1] + a[2] if a[0] == b[0] else 0) and b[1] + b[2] <= 2048
 
 
-def test_matrix_round_trip(spark, odd, tmp_path):
+@pytest.mark.parametrize("narrow", [False, True])
+def test_matrix_round_trip(spark, odd, tmp_path, narrow):
     vocab = tokens.default_vocabulary()
-    packed = packing.pack_documents(odd, vocab, place=packing.best_fit_decreasing, size=256)
-    packing.write_matrix(packing.id_matrix(packed, 256), str(tmp_path / "m"))
+    assert tokens.narrow_ids(vocab)
+    packed = packing.pack_documents(odd, vocab, place=packing.best_fit_decreasing, size=256, narrow=narrow)
+    packing.write_matrix(packing.id_matrix(packed, 256, narrow=narrow), str(tmp_path / "m"))
     back, n = {}, 0
     for r in spark.read.parquet(str(tmp_path / "m")).collect():
         ids = np.frombuffer(r.input_ids, "<u4")

@@ -8,8 +8,11 @@ part-filled sequences at most.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,39 +108,52 @@ def assign(pieces: DataFrame, size: int, place, shard: int = SHARD) -> DataFrame
 
 
 def pack_documents(docs: DataFrame, path: str, *, size: int = 2048, place=sum_of_squares, by_chunk: bool = True, shard: int = SHARD,
-                   columns: dict[str, Column] | None = None) -> DataFrame:
+                   columns: dict[str, Column] | None = None, narrow: bool = False) -> DataFrame:
     """Pieces with their place: ``doc_id, piece, start, length, sequence_id, offset`` and ``ids``.
 
-    ``columns`` replaces ``ids`` by expressions over it, computed before rows move.  Every document gives at least the
+    ``columns`` replaces ``ids`` by expressions over it, computed before rows move; ``narrow`` gives ids of two bytes.  Every document gives at least the
     closing id, so null and empty texts take one place; repeated rows are packed as often as they come; an empty table
     gives no rows.
     """
-    pieces = cut_pieces(docs, path, size, by_chunk=by_chunk)
+    pieces = cut_pieces(docs, path, size, by_chunk=by_chunk, narrow=narrow)
     what = {"ids": F.col("ids")} if columns is None else columns
     return (pieces.select("row", "doc_id", "piece", "start", "length", *[c.alias(n) for n, c in what.items()])
             .join(assign(pieces, size, place, shard), ["row", "piece"])
             .select("doc_id", "piece", "start", "length", *what, "sequence_id", "offset"))
 
 
-def id_matrix(packed: DataFrame, size: int = 2048, pad_id: int = 0) -> DataFrame:
+def id_matrix(packed: DataFrame, size: int = 2048, pad_id: int = 0, narrow: bool = False) -> DataFrame:
     """One row per sequence, as a trainer reads it.
 
     ``input_ids`` (uint32 little-endian, padded to ``size``), ``n_tokens``, ``cu_seqlens`` (0, then the end of each
     segment), ``position_ids`` (restart at 0 in each segment; the padding is one more run), ``doc_ids`` and ``pieces``.
-    A sequence holds ``size`` ids at most, so the lists are bounded.
+    A sequence holds ``size`` ids at most, so the lists are bounded.  ``narrow``: the given ``ids`` have two bytes each.
     """
     seg = F.sort_array(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "ids")))
     s = packed.groupBy("sequence_id").agg(seg.alias("s"))
-    n = F.aggregate("s", F.lit(0), lambda a, x: a + x["length"].cast("int"))
-    s = s.withColumn("n_tokens", n)
-    pad = F.repeat(F.lit("%08x" % int.from_bytes(pad_id.to_bytes(4, "little"), "big")), F.lit(size) - F.col("n_tokens"))
-    lengths = F.concat(F.transform("s", lambda x: x["length"].cast("int")), F.when(F.col("n_tokens") < size, F.array(F.lit(size) - F.col("n_tokens"))).otherwise(F.array().cast("array<int>")))
-    return s.select(
-        "sequence_id", "n_tokens",
-        F.concat(F.aggregate("s", F.to_binary(F.lit(""), F.lit("hex")), lambda a, x: F.concat(a, x["ids"])), F.unhex(pad)).alias("input_ids"),
-        F.concat(F.array(F.lit(0)), F.transform("s", lambda x: (x["offset"] + x["length"]).cast("int"))).alias("cu_seqlens"),
-        F.flatten(F.transform(lengths, lambda m: F.sequence(F.lit(0), m - 1))).alias("position_ids"),
-        F.transform("s", lambda x: x["doc_id"]).alias("doc_ids"), F.transform("s", lambda x: x["piece"]).alias("pieces"))
+    parts = s.select("sequence_id", F.transform("s", lambda x: x["length"].cast("int")).alias("lengths"), F.transform("s", lambda x: x["doc_id"]).alias("doc_ids"),
+                     F.transform("s", lambda x: x["piece"]).alias("pieces"), F.transform("s", lambda x: x["ids"]).alias("ids"))
+    held = "<u2" if narrow else "<u4"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, len(b), 200):
+                part = b.slice(lo, 200)
+                ids, totals, ends, places = [], [], [], []
+                for lengths, raw in zip(part.column(1).to_pylist(), part.column(4).to_pylist()):
+                    cuts = np.concatenate([[0], np.cumsum(lengths)])
+                    row = np.full(size, pad_id, "<u4")
+                    row[:cuts[-1]] = np.frombuffer(b"".join(raw), held)
+                    place = np.arange(size)
+                    for k, end in zip(cuts.tolist(), [*cuts[1:].tolist(), size]):
+                        place[k:end] -= k
+                    ids.append(row.tobytes()), totals.append(int(cuts[-1])), ends.append(cuts), places.append(place)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(totals, pa.int32()), pa.array(ids, pa.binary()), pa.array(ends, pa.list_(pa.int32())),
+                     pa.array(places, pa.list_(pa.int32())), part.column(2), part.column(3)],
+                    ["sequence_id", "n_tokens", "input_ids", "cu_seqlens", "position_ids", "doc_ids", "pieces"])
+
+    return parts.mapInArrow(run, "sequence_id bigint, n_tokens int, input_ids binary, cu_seqlens array<int>, position_ids array<int>, doc_ids array<bigint>, pieces array<int>")
 
 
 def write_matrix(matrix: DataFrame, path: str) -> None:

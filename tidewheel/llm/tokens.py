@@ -72,15 +72,25 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=4)
+def narrow_ids(path: str) -> bool:
+    """Whether every id of the vocabulary fits in two bytes."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, by_chunk: bool) -> Encoder:
     """One per worker process: later tasks of the worker find the words it has learnt."""
     return Encoder(path, by_chunk)
 
 
-def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True, end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True, end_id: int = 0, narrow: bool = False) -> DataFrame:
     """One row per piece: ids of the document, then ``end_id``, cut every ``size`` ids.
 
+    ``ids`` are little-endian, of four bytes each, or of two with ``narrow`` (only where ``narrow_ids``).
+
     The result is a written table: ``row`` numbers the input rows, so repeated documents stay apart.
     Null texts count as empty (only ``end_id``); columns other than ``doc_id`` and ``text`` are not used.
     """
@@ -96,7 +106,8 @@ def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True,
                     raw += end
                     for k in range(0, len(raw), 4 * size):
                         part = raw[k:k + 4 * size]
-                        out.append((r, d, k // (4 * size), k // 4, len(part) // 4, part))
+                        moved = np.frombuffer(part, "<u4").astype("<u2").tobytes() if narrow else part
+                        out.append((r, d, k // (4 * size), k // 4, len(part) // 4, moved))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                     ["row", "doc_id", "piece", "start", "length", "ids"])
