@@ -21,6 +21,7 @@ from tidewheel.operators import diagnostics as D
 from tidewheel.operators import features as FT
 from tidewheel.operators import timeverbs as T
 from tidewheel.operators import transforms as X
+from tidewheel.operators import tsfeatures as TF
 from tidewheel.operators import windows as W
 from tidewheel.plans import evaluate as E
 from tidewheel.plans import resample as R
@@ -395,3 +396,73 @@ def test_wide_to_long_and_two_digit_year(spark):
     assert sorted((r.id, r.date, r.value) for r in CP.wide_to_long(d).collect()) == [("Y1", 1, 5.0), ("Y1", 3, 7.0)]
     t = spark.sql("SELECT timestamp_ntz'2079-05-01 12:00:00' AS d")
     assert t.select(CP.repair_two_digit_year("d").alias("d")).first().d == dt.datetime(1979, 5, 1, 12)
+
+
+def asked(spark, ids, first, n):
+    rows = [(i, first + j) for i in ids for j in range(n)]
+    d = spark.createDataFrame(rows, "id string, k bigint")
+    return d.select("id", "k", C.step_start("k", "day").alias("ts"))
+
+
+def test_forecasts_reach_every_stamp_asked(spark):
+    train = panel(spark, {"a": noisy(140), "short": [1, 2, 3]})
+    future = asked(spark, ["a", "short", "new"], 10140, 70)
+    for fc in (A.forecast(train, future, [A.Order(1, 1, 0)], 7), M.recursive_linear(train, future, [1, 7])):
+        got = fc.toPandas()
+        assert len(got) == 210 and got[got.id == "a"].prediction.notna().all()
+        assert got[got.id == "new"].prediction.isna().all()
+    early = asked(spark, ["a"], 10100, 100)
+    assert A.forecast(train, early, [A.Order(1, 1, 0)], 7).where("prediction IS NULL").count() == 40
+
+
+def test_smoothing_survives_a_series_without_first_values(spark):
+    train = panel(spark, {"a": noisy(60), "b": [None] * 20 + noisy(40).tolist(), "c": [None] * 9 + noisy(51).tolist()})
+    for period in (1, 7):
+        got = S.ets(train, asked(spark, ["a", "b", "c"], 10060, 3), period).toPandas()
+        assert len(got) == 9 and np.isfinite(got.prediction).all()
+
+
+def test_learners_return_rows_with_unknown_regressors(spark):
+    rows = [("a", i, float(i % 9), float(i % 5), 2.0 * (i % 9) - (i % 5)) for i in range(90)]
+    d = spark.createDataFrame([*rows, ("a", 90, None, 1.0, 3.0), ("a", 91, 1.0, 1.0, None), ("a", 92, float("nan"), 1.0, 1.0)],
+                              "id string, k bigint, u double, v double, y double")
+    for est in (M.linear(["u", "v"]), M.boosted(["u", "v"], trees=2), M.kernel_poly(["u", "v"]), M.hinge_regression(["u", "v"])):
+        got = est.fit(d).transform(d).toPandas().set_index("k")
+        assert len(got) == 93 and got.prediction.drop([90, 92]).notna().all()
+        assert got.prediction[[90, 92]].isna().all()
+    near = M.knn(d.where("k < 90"), d.where("k >= 90"), ["u", "v"], k=3).toPandas().set_index("k")
+    assert sorted(near.index) == [90, 91, 92] and near.prediction.notna()[91] and np.isnan(near.prediction[90])
+
+
+def test_cluster_keeps_series_with_unknown_features(spark):
+    d = spark.createDataFrame([(str(i), float(i), float(i % 2)) for i in range(6)] + [("x", None, 1.0)], "id string, u double, v double")
+    got = TF.cluster(d, ["u", "v"], k=2).toPandas().set_index("id")
+    assert len(got) == 7 and np.isnan(got.cluster["x"]) and got.cluster.drop("x").notna().all()
+
+
+def test_recursion_equals_a_plain_loop(spark):
+    y = noisy(80).tolist()
+    train = panel(spark, {"a": y, "b": [None if i == 77 else v + 5 for i, v in enumerate(y)]})
+    lags = [2, 5]
+    d = W.augment(train, **{f"y_lag{l}": W.lag("y", l) for l in lags})
+    models = [M.linear([f"y_lag{l}" for l in lags]).fit(d), M.linear(["y_lag2"]).fit(d)]
+    c = [[*m.stages[1].coefficients, m.stages[1].intercept] for m in models]
+    got = M.recursive(train, asked(spark, ["a", "b"], 10080, 9), lags, models, lambda f: f).toPandas()
+    assert len(got) == 18
+    v = list(y)
+    for _ in range(9):
+        v.append(((c[0][0] * v[-2] + c[0][1] * v[-5] + c[0][2]) + (c[1][0] * v[-2] + c[1][1])) / 2)
+    np.testing.assert_allclose(got[got.id == "a"].sort_values("k").prediction, v[80:], rtol=1e-9)
+    gap = got[got.id == "b"].sort_values("k").prediction.to_numpy()
+    assert np.isnan(gap[2]) and np.isfinite(gap[:2]).all()
+
+
+def test_interval_of_any_level(spark):
+    assert abs(E.normal_quantile(95) - 1.959964) < 1e-6 and abs(E.normal_quantile(50) - 0.674490) < 1e-6
+
+
+def test_wide_and_narrow_regression_leave_out_the_same_rows(spark):
+    rows = [("a", *[float((i * p) % 11) for p in range(1, 8)]) for i in range(40)] + [("a", float("nan"), *[1.0] * 6)]
+    d = spark.createDataFrame(rows, "id string, y double, a double, b double, c double, d double, e double, f double")
+    for xs in (["a", "b"], list("abcdef")):
+        assert L.gram(d, "y", xs, ["id"]).first()["n"] == 40

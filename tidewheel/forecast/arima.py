@@ -63,7 +63,10 @@ def _subset_solver(cands: list[list[int]], k: int):
             for i, idx in enumerate(cands):
                 a = c[np.ix_(idx, idx)]
                 # A touch of ridge keeps near-collinear lag sets solvable.
-                b = np.linalg.solve(a + 1e-8 * np.trace(a) / len(idx) * np.eye(len(idx)) + 1e-12 * np.eye(len(idx)), c[idx, k])
+                try:
+                    b = np.linalg.solve(a + 1e-8 * np.trace(a) / len(idx) * np.eye(len(idx)) + 1e-12 * np.eye(len(idx)), c[idx, k])
+                except np.linalg.LinAlgError:
+                    continue
                 s2 = max(c[k, k] - b @ c[idx, k], 1e-12)
                 kp = len(idx) + 2
                 score = nn * np.log(s2) + 2 * kp + (2 * kp * (kp + 1) / (nn - kp - 1) if nn > kp + 1 else 1e9)
@@ -71,8 +74,9 @@ def _subset_solver(cands: list[list[int]], k: int):
                     beta = np.zeros(k)
                     beta[idx] = b
                     top = (beta.tolist(), m[k] - beta @ m[:k], score, i)
-            out.append(top)
-        return pd.DataFrame(out, columns=["coef", "intercept", "aicc", "cand"])
+            # No order can be solved: the series stays without a model, the others go on.
+            out.append(top or (None, None, None, None))
+        return pd.DataFrame(out, columns=["coef", "intercept", "aicc", "cand"]).astype({"cand": "Int32"})
     return udf
 
 
@@ -114,14 +118,17 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
     return model, d, ar, ma
 
 
-def _extend(h: int, poly: np.ndarray, ar: list[int], ma: list[int]):
+def _extend(poly: np.ndarray, ar: list[int], ma: list[int]):
     back = max([len(poly) - 1, *ar, *ma, 1])
 
     @F.pandas_udf("array<double>")
-    def udf(tail: pd.Series, coef: pd.Series, intercept: pd.Series) -> pd.Series:
+    def udf(tail: pd.Series, coef: pd.Series, intercept: pd.Series, cells: pd.Series) -> pd.Series:
         out = []
-        for t, c, b0 in zip(tail, coef, intercept):
-            t = [x for x in t]
+        for t, c, b0, h in zip(tail, coef, intercept, cells):
+            if c is None or h <= 0:
+                out.append(None if c is None else [])
+                continue
+            t, h = list(t), int(h)
             yv = [x["y"] for x in t]
             wv = [x["w"] for x in t]
             ev = [x["e"] for x in t]
@@ -139,37 +146,45 @@ def _extend(h: int, poly: np.ndarray, ar: list[int], ma: list[int]):
     return udf, back
 
 
-def search(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y",
-           keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
-    """``keys, last_k, path, score``: lowest AICc per observation among ``orders`` and its path."""
+def search(train: DataFrame, future: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y",
+           keys: Sequence[str] = ("id",), horizon: int | None = None) -> DataFrame:
+    """``keys, last_k, path, score``: lowest AICc per observation among ``orders`` and its path.
+
+    A path reaches the last stamp that ``future`` asks of its series, or has ``horizon`` cells where that is given.
+    Series that no order can be fitted to are missing here; ``along`` returns their stamps without a prediction.
+    """
+    ends = future.groupBy(*keys).agg(F.max("k").alias("_end"))
     groups: dict[tuple[int, int], list[Order]] = {}
     for o in orders:
         groups.setdefault((o.d, o.D), []).append(o)
     parts = None
     for (d0, D0), os in groups.items():
         model, rows, ar, ma = fit(train, os, period, y, keys)
-        udf, back = _extend(horizon, _diff_poly(d0, D0, period), ar, ma)
+        udf, back = _extend(_diff_poly(d0, D0, period), ar, ma)
         tail = last_cells(rows, back, keys).groupBy(*keys).agg(
             F.array_sort(F.collect_list(F.struct("k", F.col("_y").alias("y"), F.col("_w").alias("w"), F.col("_e2").alias("e")))).alias("_t"),
             F.max("k").alias("last_k"))
-        p = tail.join(model, list(keys)).select(*keys, "last_k", (F.col("aicc") / F.col("n")).alias("score"), udf("_t", "coef", "intercept").alias("path"))
+        cells = F.col("_end") - F.col("last_k") if horizon is None else F.lit(horizon).cast("bigint")
+        p = tail.join(model.where("coef IS NOT NULL"), list(keys)).join(ends, list(keys)).select(
+            *keys, "last_k", (F.col("aicc") / F.col("n")).alias("score"), udf("_t", "coef", "intercept", cells).alias("path"))
         parts = p if parts is None else parts.unionByName(p)
     return parts.groupBy(*keys).agg(F.min_by(F.struct("last_k", "path"), "score").alias("_b"),
                                     F.min("score").alias("score")).select(*keys, "_b.last_k", "_b.path", "score")
 
 
 def forecast(train: DataFrame, future: DataFrame, orders: Sequence[Order] = (Order(1, 1, 1, 1, 1, 1),), period: int = 7,
-             y: str = "y", keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
-    """Best of ``orders`` per series, extended up to ``horizon`` cells past the data."""
-    return along(search(train, orders, period, y, keys, horizon), future, keys)
+             y: str = "y", keys: Sequence[str] = ("id",), horizon: int | None = None) -> DataFrame:
+    """Best of ``orders`` per series, extended to the last stamp asked (or by ``horizon`` cells)."""
+    return along(search(train, future, orders, period, y, keys, horizon), future, keys)
 
 
 def along(top: DataFrame, future: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Read the predictions for the future stamps off the paths."""
-    value = F.try_element_at("path", (F.col("k") - F.col("last_k")).cast("int"))
-    return join_params(future.select(*keys, "k", "ts"), top, keys).select(*keys, "k", "ts", value.alias("prediction"))
+    """Read the predictions for the future stamps off the paths; every stamp stays, NULL where there is no path."""
+    h = (F.col("k") - F.col("last_k")).cast("int")
+    value = F.when(h > 0, F.try_element_at("path", h))
+    return future.select(*keys, "k", "ts").join(top, list(keys), "left").select(*keys, "k", "ts", value.alias("prediction"))
 
 
 def auto(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y", keys: Sequence[str] = ("id",),
-         horizon: int = 56) -> DataFrame:
+         horizon: int | None = None) -> DataFrame:
     return forecast(train, future, AUTO, period, y, keys, horizon)

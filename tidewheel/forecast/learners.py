@@ -9,10 +9,10 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.core import chunk_of
@@ -22,16 +22,33 @@ from tidewheel.plans.resample import hash_bucket
 from tidewheel.session import cut_lineage
 
 
+class CompleteRows(Pipeline):
+    """Pipeline that learns from the rows without NULL or NaN in ``need`` and transforms every row."""
+
+    def __init__(self, stages, need: Sequence[str]):
+        super().__init__(stages=stages)
+        self.need = list(need)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        return super()._fit(dataset.dropna(subset=self.need))
+
+
+def _known(xs: Sequence[str], out: str) -> SQLTransformer:
+    """Set the prediction of rows with an incomplete regressor to NULL; no row is lost."""
+    ok = " AND ".join(f"`{x}` IS NOT NULL AND NOT isnan(CAST(`{x}` AS DOUBLE))" for x in xs)
+    return SQLTransformer(statement=f"SELECT * EXCEPT (`{out}`), CASE WHEN {ok} THEN `{out}` END AS `{out}` FROM __THIS__")
+
+
 def _pipe(xs: Sequence[str], y: str, *stages, scale: bool = False) -> Pipeline:
     """Assemble ``xs``, optionally scale, then the estimator."""
     out = "_raw" if scale else "features"
-    pre = [VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="skip")]
+    pre = [VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="keep")]
     if scale:
         pre.append(StandardScaler(inputCol=out, outputCol="features", withMean=True))
     for s in stages:
         if s.hasParam("labelCol"):
             s.setLabelCol(y)
-    return Pipeline(stages=[*pre, *stages])
+    return CompleteRows([*pre, *stages, _known(xs, stages[-1].getPredictionCol())], [*xs, y])
 
 
 def linear(xs, y="y", penalty: float = 0.0, mixture: float = 0.0) -> Pipeline:
@@ -49,12 +66,12 @@ def boosted(xs, y="y", trees: int = 20, depth: int = 4, rate: float = 0.1, seed:
 
 def kernel_poly(xs, y="y", degree: int = 2, penalty: float = 0.01) -> Pipeline:
     """Polynomial feature map with a robust (Huber) linear fit; degree 1 is the linear kernel."""
-    pre = [VectorAssembler(inputCols=list(xs), outputCol="_raw", handleInvalid="skip"),
+    pre = [VectorAssembler(inputCols=list(xs), outputCol="_raw", handleInvalid="keep"),
            StandardScaler(inputCol="_raw", outputCol="_std", withMean=True)]
     if degree > 1:
         pre.append(PolynomialExpansion(degree=degree, inputCol="_std", outputCol="features"))
-    return Pipeline(stages=[*pre, LinearRegression(featuresCol="features" if degree > 1 else "_std", labelCol=y,
-                                                   loss="huber", regParam=penalty, maxIter=50)])
+    fit = LinearRegression(featuresCol="features" if degree > 1 else "_std", labelCol=y, loss="huber", regParam=penalty, maxIter=50)
+    return CompleteRows([*pre, fit, _known(xs, "prediction")], [*xs, y])
 
 
 def hinge_columns(df: DataFrame, xs: Sequence[str], n_knots: int = 3) -> dict:
@@ -64,8 +81,9 @@ def hinge_columns(df: DataFrame, xs: Sequence[str], n_knots: int = 3) -> dict:
     cols = {}
     for x in xs:
         for i, v in enumerate(sorted(set(q[x] or []))):
-            cols[f"{x}_up{i}"] = F.greatest(F.col(x) - v, F.lit(0.0))
-            cols[f"{x}_dn{i}"] = F.greatest(v - F.col(x), F.lit(0.0))
+            # ``greatest`` passes over NULL: an unknown regressor must not become a zero.
+            cols[f"{x}_up{i}"] = F.when(F.col(x).isNotNull(), F.greatest(F.col(x) - v, F.lit(0.0)))
+            cols[f"{x}_dn{i}"] = F.when(F.col(x).isNotNull(), F.greatest(v - F.col(x), F.lit(0.0)))
     return cols
 
 
@@ -137,6 +155,7 @@ def knn(train: DataFrame, query: DataFrame, xs: Sequence[str], k: int = 50, powe
 
     Each training chunk meets the key's query rows (the horizon) and keeps its k nearest; only
     those candidates travel to the final ranking.  Cannot extrapolate beyond the training values.
+    Query rows with a NULL regressor, or of a key without training rows, stay with a NULL prediction.
     """
     t = train.dropna(subset=[*xs, y]).select(*keys, "k", F.array(*[F.col(x).cast("double") for x in xs]).alias("_x"),
                                              F.col(y).cast("double").alias("_y")).withColumn("_chunk", chunk_of("k", size))
@@ -162,12 +181,12 @@ def knn(train: DataFrame, query: DataFrame, xs: Sequence[str], k: int = 50, powe
     top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     wt = 1 / (F.col("d") + 1e-9)
     fc = top.groupBy(*keys, F.col("_qk").alias("k")).agg((F.sum(wt * F.col("v")) / F.sum(wt)).alias("prediction"))
-    return query.join(fc, [*keys, "k"])
+    return query.join(fc, [*keys, "k"], "left")
 
 
 def importance(model: PipelineModel, xs: Sequence[str], spark) -> DataFrame:
     """Feature importance of the tree model at the end of a pipeline."""
-    v = model.stages[-1].featureImportances.toArray()
+    v = next(s for s in model.stages if hasattr(s, "featureImportances")).featureImportances.toArray()
     return spark.createDataFrame([(x, float(s)) for x, s in zip(xs, v)], "feature string, importance double")
 
 
@@ -175,50 +194,59 @@ def importance(model: PipelineModel, xs: Sequence[str], spark) -> DataFrame:
 
 def boost_residuals(fitted: DataFrame, base_fc: DataFrame, future: DataFrame, xs: Sequence[str], y: str = "y",
                     learner=None) -> DataFrame:
-    """Base model plus trees on its in-sample residual (``fitted`` column)."""
+    """Base model plus trees on its in-sample residual (``fitted`` column); NULL where either has no prediction."""
     d = fitted.withColumn("_res", F.col(y) - F.col("fitted")).dropna(subset=["_res", *xs])
     model = (learner or boosted(xs, "_res", trees=10, depth=3)).fit(d)
     extra = model.transform(future).select("id", "k", F.col("prediction").alias("_b"))
-    return base_fc.join(extra, ["id", "k"]).select("id", "k", "ts", (F.col("prediction") + F.col("_b")).alias("prediction"))
+    return base_fc.join(extra, ["id", "k"], "left").select("id", "k", "ts", (F.col("prediction") + F.col("_b")).alias("prediction"))
 
 
 def recursive(train: DataFrame, future: DataFrame, lags: Sequence[int], models: Sequence, features: Callable[[DataFrame], DataFrame],
-              y: str = "y", cut_every: int = 8) -> DataFrame:
+              y: str = "y") -> DataFrame:
     """Feed predictions back into the lags, one stamp of *all* series per pass.
 
-    ``models`` are fitted; several are averaged inside each step (recursive ensemble).  Only the
-    last ``max(lags)`` rows per series take part.  A run of ``min(lags)`` stamps has no feedback
-    inside it, so that many are predicted per pass.
+    ``models`` are fitted; several are averaged inside each step (recursive ensemble).  A series is one row with
+    an array of its last ``max(lags)`` values, NULL where a stamp is missing; each pass reads the lags off it,
+    predicts and moves it on.  A run of ``min(lags)`` stamps has no feedback inside it, so that many are predicted
+    per pass.  Both the step and the array are written per pass: plans stay the same size however far the horizon.
+    Every stamp after the data is returned; where a model has no complete regressors, prediction is NULL.
     """
     stride, deep = min(lags), max(lags)
+
+    def values(h0: int, n: int) -> Column:
+        return F.transform(F.sequence(F.lit(h0), F.lit(h0 + n - 1)), lambda h: F.try_element_at("_v", h))
+
+    def by_step(d: DataFrame) -> DataFrame:
+        return d.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("_h").cast("int"), F.col(y)))).alias("_v"))
+
     last = train.groupBy("id").agg(F.max("k").alias("_last"))
     hist = train.join(last, "id").where(F.col("k") > F.col("_last") - deep).select(
-        "id", "k", "ts", F.col(y).cast("double").alias(y), (F.col("k") - F.col("_last")).alias("_h"))
-    fut = future.join(last, "id").select("id", "k", "ts", F.lit(None).cast("double").alias(y), (F.col("k") - F.col("_last")).alias("_h"))
-    fut = cut_lineage(fut)
-    hist = cut_lineage(hist)
-    horizon = fut.agg(F.max("_h")).first()[0]
-    done = hist
-    for i, h in enumerate(range(1, horizon + 1, stride)):
-        now = fut.where(F.col("_h").between(h, h + stride - 1))
-        for l in lags:
-            src = done.where(F.col("_h") > h - 1 - deep).select("id", (F.col("k") + l).alias("k"), F.col(y).alias(f"{y}_lag{l}"))
-            now = now.join(src, ["id", "k"], "left")
-        now = features(now)
+        "id", F.col(y).cast("double").alias(y), (F.col("k") - F.col("_last")).alias("_h"))
+    state = cut_lineage(by_step(hist).select("id", values(1 - deep, deep).alias("_s")))
+    fut = cut_lineage(future.join(last, "id").select("id", "k", "ts", (F.col("k") - F.col("_last")).alias("_h")).where("_h > 0"))
+    horizon = fut.agg(F.max("_h")).first()[0] or 0
+    steps = [fut.where("false").select("id", "k", "ts", F.lit(None).cast("double").alias(y), "_h")]
+    for h in range(1, horizon + 1, stride):
+        now = fut.where(F.col("_h").between(h, h + stride - 1)).withColumn(y, F.lit(None).cast("double")).join(state, "id")
+        at = (F.col("_h") - h + deep + 1).cast("int")
+        now = features(now.withColumns({f"{y}_lag{l}": F.try_element_at("_s", at - l) for l in lags}).drop("_s"))
         total = None
         for j, m in enumerate(models):
             now = m.transform(now).withColumnRenamed("prediction", f"_m{j}").drop("features", "_raw", "_std")
             total = F.col(f"_m{j}") if total is None else total + F.col(f"_m{j}")
-        step = now.select("id", "k", "ts", (total / len(models)).alias(y), "_h")
-        done = done.unionByName(step)
-        if (i + 1) % cut_every == 0 or len(models) > 1:
-            done = cut_lineage(done)
-    return done.where(F.col("_h") > 0).select("id", "k", "ts", F.col(y).alias("prediction"))
+        steps.append(cut_lineage(now.select("id", "k", "ts", (total / len(models)).alias(y), "_h")))
+        moved = F.slice(F.concat("_s", values(h, stride)), stride + 1, deep)
+        state = cut_lineage(state.join(by_step(steps[-1]), "id", "left").select("id", moved.alias("_s")))
+    return reduce(DataFrame.unionByName, steps).select("id", "k", "ts", F.col(y).alias("prediction"))
 
 
 def recursive_linear(train: DataFrame, future: DataFrame, lags: Sequence[int], y: str = "y",
-                     keys: Sequence[str] = ("id",), horizon: int = 56) -> DataFrame:
-    """Per-series linear model on lags; the recursion folds over a short history array in the JVM."""
+                     keys: Sequence[str] = ("id",), horizon: int | None = None) -> DataFrame:
+    """Per-series linear model on lags; the recursion folds over a short history array in the JVM.
+
+    It reaches the last stamp asked of the series (or ``horizon`` cells).  Stamps of a series shorter than the
+    lags, or without any training row, stay with a NULL prediction.
+    """
     from tidewheel.operators.windows import lag
     d = augment(train.select(*keys, "k", F.col(y).cast("double").alias("_y")), keys=keys, **{f"_l{i}": lag("_y", i) for i in lags})
     model = L.fit(d, "_y", [f"_l{i}" for i in lags], keys=keys)
@@ -226,18 +254,21 @@ def recursive_linear(train: DataFrame, future: DataFrame, lags: Sequence[int], y
     last = train.groupBy(*keys).agg(F.max("k").alias("last_k"))
     tail = train.join(last, list(keys)).where(F.col("k") > F.col("last_k") - deep).groupBy(*keys, "last_k").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("k", F.col(y).cast("double").alias("y")))), lambda s: s["y"]).alias("_h"))
-    t = tail.join(model, list(keys))
+    ends = future.groupBy(*keys).agg(F.max("k").alias("_end"))
+    t = tail.join(model, list(keys)).join(ends, list(keys)).withColumn(
+        "_n", (F.col("_end") - F.col("last_k") if horizon is None else F.lit(horizon)).cast("int")).where("_n > 0")
 
     def step(acc, _):
         n = F.size(acc)
         v = F.col("intercept")
         for i, l in enumerate(lags):
-            v = v + F.col("coef")[i] * F.element_at(acc, (n - l + 1).cast("int"))
+            v = v + F.col("coef")[i] * F.try_element_at(acc, (n - l + 1).cast("int"))
         return F.concat(acc, F.array(v))
-    path = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_h"), step), deep + 1, horizon)
+    path = F.slice(F.aggregate(F.sequence(F.lit(1), F.col("_n")), F.col("_h"), step), F.size("_h") + 1, F.col("_n"))
     p = t.select(*keys, "last_k", path.alias("_p"))
-    value = F.try_element_at("_p", (F.col("k") - F.col("last_k")).cast("int"))
-    return future.join(p, list(keys)).select(*keys, "k", "ts", value.alias("prediction"))
+    h = (F.col("k") - F.col("last_k")).cast("int")
+    value = F.when(h > 0, F.try_element_at("_p", h))
+    return future.join(p, list(keys), "left").select(*keys, "k", "ts", value.alias("prediction"))
 
 
 def out_of_fold(df: DataFrame, learners: dict[str, object], fold: str = "fold", folds: Sequence[int] = range(5),
@@ -319,9 +350,9 @@ def show_best(results: DataFrame, metric: str = "rmse", n: int = 1) -> DataFrame
 
 
 def leaderboard(df: DataFrame, candidates: dict[str, object], fold: str = "fold", folds: Sequence[int] = range(3), y: str = "y",
-                include: Sequence[str] | None = None, exclude: Sequence[str] = (), max_models: int = 10) -> DataFrame:
+                include: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Cross-validated candidates, best RMSE first; any member can be refitted by its name."""
-    names = [n for n in candidates if (include is None or n in include) and n not in exclude][:max_models]
+    names = [n for n in candidates if (include is None or n in include) and n not in exclude]
     points = [{"model": n} for n in names]
     t = tune(df, lambda p: candidates[p["model"]], points, fold, folds, y)
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("set") + 1)

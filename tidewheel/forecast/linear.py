@@ -67,7 +67,7 @@ def gram(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataF
     # Wide: one array column; numpy works each Arrow batch, Spark adds the small arrays up.
     # Two passes, so that the products are centred.
     d = df.select(*keys, F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
-    d = d.where(~F.exists("_x", lambda v: v.isNull()))
+    d = d.where(~F.exists("_x", lambda v: v.isNull() | F.isnan(v)))
     sums = _sum_arrays(d, keys, lambda x: np.append(len(x), x.sum(axis=0)))
     m = sums.select(*keys, F.col("_a")[0].cast("bigint").alias("n"), F.transform(
         F.slice("_a", 2, len(cols)), lambda v: v / F.col("_a")[0]).alias("means"))

@@ -58,14 +58,18 @@ def _run(y, phase, m, par):
 def _start(y, phase, period, par):
     """Start state from the first two cycles: mean level, slope between cycles, phase means."""
     s = np.zeros(period)
+    if not np.isfinite(y).any():
+        # Nothing is known at the start: from zero, the recursion adapts once values come.
+        return np.zeros((len(par), 2 + period, 1))
     if period > 1:
         mean = np.nanmean(y)
         for p in range(period):
             v = y[phase == p]
             s[p] = np.nanmean(v) - mean if np.isfinite(v).any() else 0.0
         first, second = y[:period], y[period:2 * period]
-        slope = (np.nanmean(second) - np.nanmean(first)) / period if len(second) == period else 0.0
-        level = np.nanmean(first) - slope * (period + 1) / 2
+        known = [np.nanmean(v) if np.isfinite(v).any() else None for v in (first, second)]
+        slope = (known[1] - known[0]) / period if len(second) == period and None not in known else 0.0
+        level = (mean if known[0] is None else known[0]) - slope * (period + 1) / 2
     else:
         known = y[np.isfinite(y)]
         slope = known[1] - known[0] if len(known) > 1 else 0.0
@@ -76,7 +80,7 @@ def _start(y, phase, period, par):
     seasonal = par[:, 2] > 0
     m[seasonal, 2:, 0] = s
     # A seasonless model starts on the plain first-cycle mean, a trendless one without a slope.
-    m[par[:, 3] == 0, 0, 0] = np.nanmean(y[:period])
+    m[par[:, 3] == 0, 0, 0] = np.nanmean(y[:period] if np.isfinite(y[:period]).any() else y)
     return m
 
 

@@ -35,20 +35,24 @@ def with_regressors(train: DataFrame, future: DataFrame, xs: Sequence[str], base
 
 
 def smoothing_or_arima(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y",
-                       orders: Sequence[A.Order] = A.AUTO, horizon: int = 56, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Per series the better of automatic smoothing and automatic ARIMA by AICc per observation."""
+                       orders: Sequence[A.Order] = A.AUTO, horizon: int | None = None, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Per series the better of automatic smoothing and automatic ARIMA by AICc per observation.
+
+    Where only one of them has a model, it is taken; without either, the stamps stay with a NULL prediction.
+    """
     grid = S.auto_grid(period)
     ets = cut_lineage(S.best(S.fit(train, y, period, grid, keys=keys), grid, keys))
-    ari = cut_lineage(A.search(train, orders, period, y, keys, horizon))
+    ari = cut_lineage(A.search(train, future, orders, period, y, keys, horizon))
     pick = ets.select(*keys, (F.col("score") / F.col("n")).alias("_s")).join(
-        ari.select(*keys, F.col("score").alias("_a")), list(keys))
-    one = S.project(ets, future, period, keys).join(pick.where("_s <= _a").select(*keys), list(keys), "left_semi")
-    two = A.along(ari, future, keys).join(pick.where("_s > _a").select(*keys), list(keys), "left_semi")
+        ari.select(*keys, F.col("score").alias("_a")), list(keys), "full")
+    by_ets = pick.where("_s IS NOT NULL AND (_a IS NULL OR _s <= _a)").select(*keys)
+    one = S.project(ets, future, period, keys).join(by_ets, list(keys), "left_semi")
+    two = A.along(ari, future, keys).join(by_ets, list(keys), "left_anti")
     return one.unionByName(two)
 
 
 def multi_season(train: DataFrame, future: DataFrame, periods: Sequence[float] = (7, 30, 365), order: int = 3, y: str = "y",
-                 box_cox: bool = False, horizon: int = 56) -> DataFrame:
+                 box_cox: bool = False, horizon: int | None = None) -> DataFrame:
     """(Box-Cox,) trend and Fourier terms per period, autoregression on what is left."""
     cols = {**fourier_terms(periods, order), "_trend": F.col("k") / 1000.0}
     d = train

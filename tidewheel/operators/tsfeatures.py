@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -53,9 +54,15 @@ def ts_features(df: DataFrame, y: str = "y", period: int = 7, *, scale: bool = T
 
 
 def cluster(features: DataFrame, cols: Sequence[str], k: int = 3, n_start: int = 5, seed: int = 123) -> DataFrame:
-    """k-means on scaled feature rows; the cheapest of ``n_start`` seeds wins."""
-    v = VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip").transform(cut_lineage(features))
-    v = StandardScaler(inputCol="_raw", outputCol="_v", withMean=True).fit(v).transform(v).cache()
+    """k-means on scaled feature rows; the cheapest of ``n_start`` seeds wins.
+
+    Series with a NULL or NaN feature take no part in the fit and come back with a NULL ``cluster``.
+    """
+    rows = cut_lineage(features)
+    v = VectorAssembler(inputCols=list(cols), outputCol="_raw").transform(rows.dropna(subset=list(cols)))
+    v = cut_lineage(StandardScaler(inputCol="_raw", outputCol="_v", withMean=True).fit(v).transform(v))
     models = [KMeans(featuresCol="_v", predictionCol="cluster", k=k, seed=seed + i).fit(v) for i in range(n_start)]
     best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(v).drop("_raw", "_v")
+    found = best.transform(v).drop("_raw", "_v")
+    lost = rows.where(reduce(lambda a, c: a | c, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in cols]))
+    return found.unionByName(lost.withColumn("cluster", F.lit(None).cast("int")))

@@ -6,6 +6,7 @@ Flat schema: ``model_id, id, k, ts, actual, prediction, residual``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,12 @@ from tidewheel.operators.verbs import slice_ranked
 # Two-sided standard normal quantiles.
 Z = {80: 1.2815515655446004, 90: 1.6448536269514722, 95: 1.959963984540054, 99: 2.5758293035489004}
 
+
+def normal_quantile(level: float) -> float:
+    """Two-sided standard normal quantile of any level in percent."""
+    return Z[level] if level in Z else NormalDist().inv_cdf(0.5 + level / 200)
+
+
 METRICS = ("mae", "mape", "mase", "smape", "rmse", "rsq")
 
 
@@ -95,7 +102,7 @@ def interval_normal(forecast: DataFrame, cal: DataFrame, levels: Sequence[int] =
                     by: Sequence[str] = ("model_id",)) -> DataFrame:
     """Prediction +- z * sd(residual); one row per level."""
     s = cal.groupBy(*by).agg(F.stddev_samp("residual").alias("_s"))
-    lv = F.array(*[F.struct(F.lit(l).alias("level"), F.lit(Z[l]).alias("_z")) for l in levels])
+    lv = F.array(*[F.struct(F.lit(l).alias("level"), F.lit(normal_quantile(l)).alias("_z")) for l in levels])
     j = forecast.join(s, list(by)).select(*forecast.columns, "_s", F.inline(lv))
     return j.select(*forecast.columns, "level", (F.col("prediction") - F.col("_z") * F.col("_s")).alias("lo"),
                     (F.col("prediction") + F.col("_z") * F.col("_s")).alias("hi"))
