@@ -250,10 +250,11 @@ def _(spark, sf):
     return d.select("id", "date", "period", C.calendar_offset("start", "period", "date").alias("ts"))
 
 
-@query("wide_matrix_to_long", f"WITH {_LONG} SELECT CAST(id AS VARCHAR) AS id, date, round(value, 2) AS value FROM ci WHERE date <= 78")
+@query("wide_matrix_to_long", f"WITH {_LONG} SELECT CAST(id AS VARCHAR) AS id, date, round(value, 2) AS value FROM ci")
 def _(spark, sf):
     d = C.continue_index(_long_positions(spark, sf))
-    wide = V.pivot_wider(d.withColumn("v", F.concat(F.lit("V"), F.col("date") + 1)), ["id"], "v", "value", [f"V{i}" for i in range(2, 80)])
+    columns = [f"V{i + 1}" for i in range(1, (d.agg(F.max("date")).first()[0] or 0) + 1)]
+    wide = V.pivot_wider(d.withColumn("v", F.concat(F.lit("V"), F.col("date") + 1)), ["id"], "v", "value", columns)
     return C.wide_to_long(wide.withColumn("id", F.col("id").cast("string")).withColumnRenamed("id", "V1")).select("id", "date", r("value", 2))
 
 
