@@ -5,7 +5,7 @@ import collections
 import corpus_pipeline
 from oracle import compare  # noqa: F401
 from tidewheel.llm import mixing, quality, tokens, toxicity
-from test_operators import brute_components
+from test_corpus_operators import brute_components
 
 SF = "/root/testdata/sf0.001"
 
