@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, html, mixing, neardup, packing, quality, tokens, topk, toxicity, urls
+from tidewheel.llm import bestfit, chat, fim, html, mixing, neardup, packing, quality, runs, tokens, topk, toxicity, urls
 from tidewheel.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -88,3 +88,27 @@ ORACLE["op7_collapse_conversations"] = chat.SQL
 @query
 def op9_url_neighbour_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_best_fit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), tokens.default_vocabulary(), columns={"ids_crc32": F.crc32("ids")}).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op12_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = runs.detect_runs(runs.plant_repeats(table(spark, sf_dir, "documents"))).select("doc.doc_id", "runs", "collapsed", runs.strongest(F.col("runs")).alias("top"))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"].cast("string"), x["length"].cast("string"), x["period"].cast("string")), F.lit("\n")))
+    return d.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+                    F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_rotated_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc.doc_id", "n", "form", "prefix_chars", "middle_chars", "output")
+    return fim.restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLE["op13_rotated_middle"] = fim.SQL
