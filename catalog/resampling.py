@@ -277,3 +277,28 @@ def _(spark, sf):
     good = L.fit(d, "y", ["t"]).select(F.lit("trend").alias("model_id"), "id", "status")
     bad = L.fit(d, "y", ["t", "t2"]).select(F.lit("trend + doubled trend").alias("model_id"), "id", "status")
     return E.status_report(good.unionByName(bad))
+
+
+@query("fit_failure_report", f"WITH {P.ORDER_DAYS}, n AS (SELECT id, CASE id WHEN '2-HIGH' THEN 5 WHEN '3-MEDIUM' THEN 0 ELSE count(*) END AS n_known FROM od GROUP BY 1), "
+       "m AS (SELECT n.*, model_id, CASE WHEN model_id = 'broken' THEN 'ValueError: no such engine' WHEN model_id = 'boosted' THEN NULL WHEN n_known = 0 THEN 'no known value' "
+       "WHEN model_id = 'arima' AND n_known < 30 THEN n_known || ' known values, needs 30' END AS error FROM n, (VALUES ('smoothing'), ('arima'), ('line'), ('boosted'), ('broken')) v(model_id)) "
+       "SELECT model_id, id, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error, n_known, 14 AS n_asked, CASE WHEN error IS NULL THEN 14 ELSE 0 END AS n_predicted FROM m")
+def _(spark, sf):
+    """Smoothing, ARIMA, a line per series, one global learner and a broken engine; a constant, a short and an all-NULL series."""
+    from tidewheel.forecast import arima as A
+    from tidewheel.forecast import learners as M
+    from tidewheel.forecast import linear as L
+    from tidewheel.forecast import smoothing as S
+
+    d = P.order_days(spark, sf).select("id", "k", "ts", (F.col("y") / 1e5).alias("y"), (F.col("k") / 1000.0).alias("t"))
+    fut = T.future_frame(d, "day", 14).withColumn("t", F.col("k") / 1000.0)
+    ends = d.groupBy("id").agg(F.max("k").alias("_e"))
+    d = d.join(ends, "id").where((F.col("id") != "2-HIGH") | (F.col("k") > F.col("_e") - 5)).withColumn(
+        "y", F.when(F.col("id") == "1-URGENT", 5.0).when(F.col("id") != "3-MEDIUM", F.col("y"))).drop("_e")
+
+    def broken(train, future):
+        raise ValueError("no such engine")
+
+    models = {"smoothing": lambda a, b: S.ets(a, b, 1), "arima": lambda a, b: A.forecast(a, b, [A.Order(1, 1, 1)]), "line": lambda a, b: L.predict(b, L.fit(a, "y", ["t"]), ["t"]),
+              "boosted": lambda a, b: M.boosted(["t"], trees=3).fit(a).transform(b), "broken": broken}
+    return E.nested_forecast(models, d, fut, needs={"arima": 30})[1]

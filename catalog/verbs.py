@@ -186,6 +186,17 @@ def _(spark, sf):
     return T.future_frame(P.order_days(spark, sf).drop("n"), "day", "8 weeks", bind=True).select("id", "ts", r("y"))
 
 
+@query("future_frame_inferred", f"WITH {P.EVENT_HOURS}, {P.ORDER_DAYS}, {P.ORDER_WEEKS}, {P.ORDER_MONTHS}, "
+       "l AS (SELECT 'h ' || id AS id, max(ts) AS hi, 1344 AS n, INTERVAL 1 HOUR AS step FROM eh GROUP BY id UNION ALL SELECT 'd ' || id, max(ts), 56, INTERVAL 1 DAY FROM od GROUP BY id "
+       "UNION ALL SELECT 'w ' || id, max(ts), 8, INTERVAL 7 DAY FROM ow GROUP BY id UNION ALL SELECT 'm ' || id, max(ts), 2, INTERVAL 1 MONTH FROM om GROUP BY id) "
+       "SELECT id, CAST(h AS INTEGER) AS h, CAST(hi + CAST(h AS INTEGER) * step AS TIMESTAMP) AS ts FROM (SELECT *, unnest(range(1, n + 1)) AS h FROM l)")
+def _(spark, sf):
+    """Hourly, daily, weekly and monthly series go on for eight weeks, each in its own step."""
+    kinds = {"h": P.event_hours, "d": P.order_days, "w": P.order_weeks, "m": P.order_months}
+    parts = [f(spark, sf).select(F.concat(F.lit(f"{n} "), "id").alias("id"), "ts") for n, f in kinds.items()]
+    return T.future_frame(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), None, "8 weeks").select("id", "h", "ts")
+
+
 @query("extend_monthly", f"WITH {P.ORDER_MONTHS}, l AS (SELECT id, max(ts) AS hi FROM om GROUP BY 1) "
        "SELECT id, CAST(unnest(generate_series(hi + INTERVAL 1 MONTH, hi + INTERVAL 6 MONTH, INTERVAL 1 MONTH)) AS TIMESTAMP) AS ts FROM l")
 def _(spark, sf):

@@ -98,7 +98,7 @@ def test_position_and_rank(spark):
     d = spark.createDataFrame([("a", int(k), float(rng.integers(0, 40))) for k in ks], "id string, k bigint, y double").withColumn("ts", C.step_start("k", "day"))
     p = {r.k: r.pos for r in C.with_position(d, name="pos", size=16).collect()}
     assert [p[int(k)] for k in ks] == list(range(1, 301))
-    r = AN.rank_by(d, "y", "rk").orderBy("rk").collect()
+    r = C.running(d, "y", rank="rk", rows=16).orderBy("rk").collect()
     assert [x.rk for x in r] == list(range(1, 301))
     assert [(x.y, x.k) for x in r] == sorted((x.y, x.k) for x in r)
 

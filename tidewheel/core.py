@@ -158,17 +158,15 @@ def with_neighbours(df: DataFrame, value: str, *, keys: Sequence[str] = ("id",),
     d = df.withColumn("_chunk", chunk_of(pos, size))
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(pos).alias("k"), F.col(value).alias("y")))
     summary = d.groupBy(*keys, "_chunk").agg(F.max(known).alias("_hi"), F.min(known).alias("_lo"))
-    over = Window.partitionBy(*keys).orderBy("_chunk")
-    summary = summary.select(
-        *keys, "_chunk",
-        F.last("_hi", True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_hi"),
-        F.first("_lo", True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_lo"))
-    w = Window.partitionBy(*keys, "_chunk").orderBy(pos)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # Looking ahead is looking back in descending order: frames that end with the partition cost a square.
+    over, later = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in ("_chunk", F.desc("_chunk")))
+    summary = summary.select(*keys, "_chunk", F.last("_hi", True).over(over).alias("_carry_hi"),
+                             F.last("_lo", True).over(later).alias("_carry_lo"))
+    inner = Window.partitionBy(*keys, "_chunk")
+    back, ahead = (inner.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (pos, F.desc(pos)))
     return (d.join(summary, [*keys, "_chunk"])
              .withColumn("_prev", F.coalesce(F.last(known, True).over(back), F.col("_carry_hi")))
-             .withColumn("_next", F.coalesce(F.first(known, True).over(ahead), F.col("_carry_lo")))
+             .withColumn("_next", F.coalesce(F.last(known, True).over(ahead), F.col("_carry_lo")))
              .drop("_chunk", "_carry_hi", "_carry_lo"))
 
 
@@ -180,6 +178,48 @@ def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str] = ("id",))
     return df.join(params, list(keys))
 
 
+# ------------------------------------------------------------------ order by value
+
+def value_bins(df: DataFrame, value: str, *, keys: Sequence[str] = ("id",), sub: Column | None = None, rows: int = CHUNK,
+               most: int = 4096) -> DataFrame:
+    """Add ``_bin, _sub``: rows of a key ordered by ``value`` are ordered by (``_bin``, ``_sub``) first.
+
+    Bins hold about ``rows`` rows of the largest key (a bounded sketch cuts them).  A value that fills whole bins by itself is
+    split further by ``sub`` (chunk of ``k`` by default), which must follow the wanted order of ties.  ``value`` is never NULL here;
+    ``df`` is read three times, so its lineage should be short.
+    """
+    keys = list(keys)
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    n = min(most, max(1, largest // rows))
+    q = df.groupBy(*keys).agg(F.percentile_approx(value, [i / (n + 1) for i in range(1, n + 1)], max(1000, 8 * n)).alias("_q"))
+    v, cuts = F.col(value), F.col("_q")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(cuts, at + s - 1) < v, at + s).otherwise(at))
+    heavy = (F.get(cuts, F.col("_bin")) == v) & (F.get(cuts, F.col("_bin") + 1) == v)
+    split = F.when(heavy, chunk_of("k") if sub is None else sub).otherwise(F.lit(-(1 << 62))).cast("bigint")
+    return join_params(df, q, keys).withColumn("_bin", below).withColumn("_sub", split).drop("_q")
+
+
+def running(df: DataFrame, value: str, *, rank: str, sums: dict[str, Column] | None = None, keys: Sequence[str] = ("id",),
+            rows: int = CHUNK) -> DataFrame:
+    """``df`` with the 1-based ``rank`` by (``value``, ``k``) per key and exclusive running ``sums``; no task holds one key.
+
+    Ranks and sums inside a bin come from a window, those of the bins before from one summary row each.
+    """
+    keys, sums = list(keys), sums or {}
+    d = value_bins(df, value, keys=keys, rows=rows)
+    place = [*keys, "_bin", "_sub"]
+    per = d.groupBy(*place).agg(F.count(F.lit(1)).alias("_before"), *[F.sum(c).alias(f"_before_{n}") for n, c in sums.items()])
+    before = Window.partitionBy(*keys).orderBy("_bin", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select(*place, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_before", *[f"_before_{n}" for n in sums])])
+    w = Window.partitionBy(*place).orderBy(value, "k")
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    return (d.join(off, place)
+             .withColumns({rank: F.row_number().over(w) + F.col("_before"),
+                           **{n: F.coalesce(F.sum(c).over(past), F.lit(0.0)) + F.col(f"_before_{n}") for n, c in sums.items()}})
+             .drop("_bin", "_sub", "_before", *[f"_before_{n}" for n in sums]))
+
+
 # ------------------------------------------------------------------ exact order statistics
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], *,

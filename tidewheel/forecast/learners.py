@@ -1,4 +1,4 @@
-"""Global learners over all series, boosted residuals, recursion, stacking, tuning."""
+"""Global learners over all series, boosted residuals, recursion, parameter grids."""
 
 from __future__ import annotations
 
@@ -56,8 +56,10 @@ def linear(xs, y="y", penalty: float = 0.0, mixture: float = 0.0) -> Pipeline:
     return _pipe(xs, y, LinearRegression(regParam=penalty, elasticNetParam=mixture, maxIter=50))
 
 
-def forest(xs, y="y", trees: int = 20, depth: int = 6, min_n: int = 25, seed: int = 123) -> Pipeline:
-    return _pipe(xs, y, RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_n, seed=seed))
+def forest(xs, y="y", trees: int = 20, depth: int = 6, min_n: int = 25, seed: int = 123, mtry: int | None = None) -> Pipeline:
+    """Random forest; ``mtry`` regressors (at most all) are tried at each split, a third of them by default."""
+    tried = "auto" if mtry is None else str(max(1, min(mtry, len(xs))))
+    return _pipe(xs, y, RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_n, seed=seed, featureSubsetStrategy=tried))
 
 
 def boosted(xs, y="y", trees: int = 20, depth: int = 4, rate: float = 0.1, seed: int = 123) -> Pipeline:
@@ -271,30 +273,6 @@ def recursive_linear(train: DataFrame, future: DataFrame, lags: Sequence[int], y
     return future.join(p, list(keys), "left").select(*keys, "k", "ts", value.alias("prediction"))
 
 
-def out_of_fold(df: DataFrame, learners: dict[str, object], fold: str = "fold", folds: Sequence[int] = range(5),
-                y: str = "y") -> DataFrame:
-    """Wide table of out-of-fold predictions, one column per learner: one fit per (fold, learner)."""
-    d = cut_lineage(df)
-    parts = []
-    for f in folds:
-        train, test = d.where(F.col(fold) != f), d.where(F.col(fold) == f)
-        for name, est in learners.items():
-            test = est.fit(train).transform(test).withColumnRenamed("prediction", name).drop("features", "_raw", "_std")
-        parts.append(test)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def stack(df: DataFrame, future: DataFrame, learners: dict[str, object], meta, fold: str = "fold",
-          folds: Sequence[int] = range(5), y: str = "y") -> DataFrame:
-    """Meta-learner on out-of-fold predictions; sub-models are refitted on all rows."""
-    oof = cut_lineage(out_of_fold(df, learners, fold, folds, y))
-    final = meta.fit(oof)
-    f = future
-    for name, est in learners.items():
-        f = est.fit(df).transform(f).withColumnRenamed("prediction", name).drop("features", "_raw", "_std")
-    return final.transform(f)
-
-
 # ------------------------------------------------------------------ tuning
 
 def grid_points(ranges: dict[str, tuple[float, float]], size: int, kind: str = "latin", seed: int = 123,
@@ -322,38 +300,3 @@ def grid_points(ranges: dict[str, tuple[float, float]], size: int, kind: str = "
             point[name] = float(10 ** (np.log10(lo) + v * (np.log10(hi) - np.log10(lo)))) if name in log else float(lo + v * (hi - lo))
         out.append(point)
     return out
-
-
-def tune(df: DataFrame, build: Callable[[dict], object], points: Sequence[dict], fold: str = "fold",
-         folds: Sequence[int] = range(3), y: str = "y") -> DataFrame:
-    """RMSE, MAE and R2 per parameter set, averaged over folds; sorted best first.
-
-    Folds may be v-fold numbers or time slices; the fitted frame is materialised once.
-    """
-    d = cut_lineage(df)
-    parts = []
-    for i, point in enumerate(points):
-        for f in folds:
-            model = build(point).fit(d.where(F.col(fold) != f))
-            res = model.transform(d.where(F.col(fold) == f))
-            e = F.col(y) - F.col("prediction")
-            parts.append(res.agg(F.lit(i).alias("set"), F.lit(str(sorted(point.items()))).alias("params"), F.lit(f).alias("fold"),
-                                 F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                                 (F.corr(y, "prediction") * F.corr(y, "prediction")).alias("rsq")))
-    allm = reduce(DataFrame.unionByName, parts)
-    return allm.groupBy("set", "params").agg(*[F.avg(m).alias(m) for m in ("rmse", "mae", "rsq")]).orderBy("rmse")
-
-
-def show_best(results: DataFrame, metric: str = "rmse", n: int = 1) -> DataFrame:
-    from tidewheel.operators.verbs import slice_ranked
-    return slice_ranked(results, metric, n, largest=metric == "rsq")
-
-
-def leaderboard(df: DataFrame, candidates: dict[str, object], fold: str = "fold", folds: Sequence[int] = range(3), y: str = "y",
-                include: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
-    """Cross-validated candidates, best RMSE first; any member can be refitted by its name."""
-    names = [n for n in candidates if (include is None or n in include) and n not in exclude]
-    points = [{"model": n} for n in names]
-    t = tune(df, lambda p: candidates[p["model"]], points, fold, folds, y)
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("set") + 1)
-    return t.select(label.alias("model"), "rmse", "mae", "rsq")

@@ -1,4 +1,7 @@
-"""Forecasters that are plain aggregates: ``f(train, future) -> id, k, ts, prediction``."""
+"""Forecasters that are plain aggregates: ``f(train, future) -> id, k, ts, prediction``.
+
+Every future row comes back; the prediction of a series (or phase) without training rows is NULL.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +18,7 @@ _OUT = ("id", "k", "ts", "prediction")
 def naive(train: DataFrame, future: DataFrame, y: str = "y", keys: Sequence[str] = ("id",)) -> DataFrame:
     """Last observed value."""
     p = train.where(F.col(y).isNotNull()).groupBy(*keys).agg(F.max_by(y, "k").cast("double").alias("prediction"))
-    return join_params(future.select(*keys, "k", "ts"), p, keys).select(*keys, "k", "ts", "prediction")
+    return future.select(*keys, "k", "ts").join(p, list(keys), "left").select(*keys, "k", "ts", "prediction")
 
 
 def last_cells(train: DataFrame, n: int, keys: Sequence[str] = ("id",)) -> DataFrame:
@@ -29,7 +32,7 @@ def seasonal_naive(train: DataFrame, future: DataFrame, period: int, y: str = "y
     """Value of the same phase in the last full cycle."""
     phase = F.pmod("k", F.lit(period))
     cyc = last_cells(train, period, keys).select(*keys, phase.alias("_p"), F.col(y).cast("double").alias("prediction"))
-    return (future.select(*keys, "k", "ts", phase.alias("_p")).join(cyc, [*keys, "_p"])
+    return (future.select(*keys, "k", "ts", phase.alias("_p")).join(cyc, [*keys, "_p"], "left")
                   .select(*keys, "k", "ts", "prediction"))
 
 
@@ -37,7 +40,7 @@ def window(train: DataFrame, future: DataFrame, size: int = 7, fn: Callable[[Col
            y: str = "y", keys: Sequence[str] = ("id",)) -> DataFrame:
     """Any aggregate of the last ``size`` values."""
     p = last_cells(train, size, keys).groupBy(*keys).agg(fn(F.col(y)).cast("double").alias("prediction"))
-    return join_params(future.select(*keys, "k", "ts"), p, keys).select(*keys, "k", "ts", "prediction")
+    return future.select(*keys, "k", "ts").join(p, list(keys), "left").select(*keys, "k", "ts", "prediction")
 
 
 def window_weighted(train: DataFrame, future: DataFrame, weights: Sequence[float] = (.1, .3, .6), y: str = "y",
@@ -46,4 +49,4 @@ def window_weighted(train: DataFrame, future: DataFrame, weights: Sequence[float
     n = len(weights)
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("k") - F.col("_last") + n).cast("int"))
     p = last_cells(train, n, keys).groupBy(*keys).agg(F.sum(F.col(y) * w).alias("prediction"))
-    return join_params(future.select(*keys, "k", "ts"), p, keys).select(*keys, "k", "ts", "prediction")
+    return future.select(*keys, "k", "ts").join(p, list(keys), "left").select(*keys, "k", "ts", "prediction")

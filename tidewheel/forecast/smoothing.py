@@ -135,7 +135,8 @@ def best(fits: DataFrame, grid: Sequence[Params], keys: Sequence[str] = ("id",),
     """Lowest SSE or AICc per series, with the chosen parameters."""
     cols = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("alpha", "beta", "gamma", "phi", "npar"), g)])
                      for g in grid])
-    d = fits.withColumn("_g", F.element_at(cols, F.col("p") + 1))
+    # A series without a known value has no model.
+    d = fits.where("n > 0").withColumn("_g", F.element_at(cols, F.col("p") + 1))
     kp = F.col("_g.npar") + 1
     aicc = (F.col("n") * F.log(F.greatest(F.col("sse"), F.lit(1e-12)) / F.col("n")) + 2 * kp
             + F.when(F.col("n") > kp + 1, 2 * kp * (kp + 1) / (F.col("n") - kp - 1)).otherwise(F.lit(1e9)))
@@ -146,14 +147,14 @@ def best(fits: DataFrame, grid: Sequence[Params], keys: Sequence[str] = ("id",),
 
 
 def project(model: DataFrame, future: DataFrame, period: int = 1, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Level + damped trend + season for every future stamp; plain expressions."""
+    """Level + damped trend + season for every future stamp, NULL for a series without a model; plain expressions."""
     h = F.col("k") - F.col("last_k")
     steps = F.when(F.col("phi") == 1, h.cast("double")).when(F.col("phi") == 0, 0.0).otherwise(
         F.col("phi") * (1 - F.pow("phi", h)) / (1 - F.col("phi")))
     season = F.element_at("state", (F.pmod("k", F.lit(period)) + 3).cast("int"))
     value = F.col("state")[0] + steps * F.col("state")[1] + season
     m = model.select(*keys, "last_k", "state", "phi")
-    return join_params(future.select(*keys, "k", "ts"), m, keys).select(*keys, "k", "ts", value.alias("prediction"))
+    return future.select(*keys, "k", "ts").join(m, list(keys), "left").select(*keys, "k", "ts", value.alias("prediction"))
 
 
 def ets(train: DataFrame, future: DataFrame, period: int = 7, grid: Sequence[Params] | None = None,
@@ -169,5 +170,5 @@ def theta(train: DataFrame, future: DataFrame, y: str = "y", alphas: Sequence[fl
     line = train.groupBy(*keys).agg(F.regr_slope(F.col(y), t).alias("_b"), F.regr_intercept(F.col(y), t).alias("_a"))
     z = join_params(train, line, keys).select(*keys, "k", (2 * F.col(y) - F.col("_a") - F.col("_b") * t).alias("_z"))
     s = ets(z, future, 1, ses_grid(alphas), "_z", "sse", keys)
-    return join_params(s, line, keys).select(
+    return s.join(line, list(keys), "left").select(
         *keys, "k", "ts", (0.5 * F.col("prediction") + 0.5 * (F.col("_a") + F.col("_b") * t)).alias("prediction"))

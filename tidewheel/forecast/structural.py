@@ -31,7 +31,9 @@ def with_regressors(train: DataFrame, future: DataFrame, xs: Sequence[str], base
         *keys, "k", "ts", (F.col(y) - F.col("_p")).alias("y")).where(F.col("y").isNotNull())
     rest = base(cut_lineage(res), future)
     lin = L.predict(future, model, xs, keys=keys, out="_p").select(*keys, "k", "_p")
-    return rest.join(lin, [*keys, "k"]).select(*keys, "k", "ts", (F.col("prediction") + F.col("_p")).alias("prediction"))
+    # Rows are matched by stamp, not by position: a regressor may be unknown, then the prediction is NULL.
+    return (future.select(*keys, "k", "ts").join(rest.select(*keys, "k", "prediction"), [*keys, "k"], "left").join(lin, [*keys, "k"], "left")
+            .select(*keys, "k", "ts", (F.col("prediction") + F.col("_p")).alias("prediction")))
 
 
 def smoothing_or_arima(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y",
@@ -46,7 +48,7 @@ def smoothing_or_arima(train: DataFrame, future: DataFrame, period: int = 7, y:
     pick = ets.select(*keys, (F.col("score") / F.col("n")).alias("_s")).join(
         ari.select(*keys, F.col("score").alias("_a")), list(keys), "full")
     by_ets = pick.where("_s IS NOT NULL AND (_a IS NULL OR _s <= _a)").select(*keys)
-    one = S.project(ets, future, period, keys).join(by_ets, list(keys), "left_semi")
+    one = S.project(ets, future, period, keys).join(by_ets, list(keys), "left_semi")  # the others come from the second
     two = A.along(ari, future, keys).join(by_ets, list(keys), "left_anti")
     return one.unionByName(two)
 
@@ -106,7 +108,7 @@ def stl_forecast(train: DataFrame, future: DataFrame, base: Base, periods: Seque
         season = s if season is None else season.unionByName(s)
         d = dec.select(*keys, "k", "ts", F.col("seasadj").alias("y"))
     total = season.groupBy(*keys, "k").agg(F.sum("_s").alias("_s"))
-    return base(d, future).join(total, [*keys, "k"]).select(
+    return base(d, future).join(total, [*keys, "k"], "left").select(
         *keys, "k", "ts", (F.col("prediction") + F.col("_s")).alias("prediction"))
 
 

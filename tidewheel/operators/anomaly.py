@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.core import exact_quantiles, halo_select, join_params, with_halo
+from tidewheel.core import CHUNK, chunk_of, exact_quantiles, halo_select, join_params, running, value_bins, with_halo
 from tidewheel.operators import decompose as DC
 from tidewheel.session import cut_lineage
 
@@ -44,19 +44,16 @@ def gesd(df: DataFrame, x: str, alpha: float = 0.05, max_anomalies: float = 0.2)
     """Generalised extreme studentised deviate test per id on column ``x``.
 
     Values leave in order of their distance from the mean; mean and sd of the rest come from running
-    sums.  Only the farthest ``max_anomalies`` share (found by a sketch) is ranked.
+    sums over bins of that distance.  Only the farthest ``max_anomalies`` share (found by a sketch) is ranked.
     """
     s = df.groupBy("id").agg(F.count(x).alias("_n"), F.avg(x).alias("_m"))
     d = join_params(df.select("id", "k", x), s, ["id"]).withColumn("_c", F.col(x) - F.col("_m"))
     tot = d.groupBy("id").agg(F.sum(F.col("_c") * F.col("_c")).alias("_ss"),
                               F.percentile_approx(F.abs("_c"), max(0.0, 1 - max_anomalies - 0.01), 10000).alias("_cut"))
     far = join_params(d, tot, ["id"]).where(F.abs("_c") >= F.col("_cut"))
-    w = Window.partitionBy("id").orderBy(F.desc(F.abs("_c")), "k")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    r = (far.withColumn("_i", F.row_number().over(w))
-            .withColumn("_gone", F.coalesce(F.sum("_c").over(before), F.lit(0.0)))
-            .withColumn("_gone2", F.coalesce(F.sum(F.col("_c") * F.col("_c")).over(before), F.lit(0.0)))
-            .where(F.col("_i") <= F.floor(F.col("_n") * max_anomalies)))
+    far = cut_lineage(far.withColumn("_d", -F.abs("_c")))
+    r = (running(far, "_d", rank="_i", sums={"_gone": F.col("_c"), "_gone2": F.col("_c") * F.col("_c")})
+         .where(F.col("_i") <= F.floor(F.col("_n") * max_anomalies)))
     left = (F.col("_n") - F.col("_i") + 1).cast("double")
     mean = -F.col("_gone") / left
     var = F.try_divide(F.col("_ss") - F.col("_gone2") - left * mean * mean, left - 1)
@@ -104,18 +101,85 @@ class Ewma:
         return int(f1), int(f2), int(f3)
 
 
-def ewma_charts(df: DataFrame) -> DataFrame:
-    """``id, k, pewma, sd_ewma, two_stage`` (0/1) for every known row.
+def _scan(keep: float, add: np.ndarray, start: float, block: int = 64) -> np.ndarray:
+    """``s[t] = keep * s[t - 1] + add[t]`` with ``start`` before the first: blocks by matrix, then a chain of block ends."""
+    i = np.arange(block)
+    lower = np.where(i[:, None] >= i, keep ** np.maximum(i[:, None] - i, 0.0), 0.0)
+    local = np.concatenate([add, np.zeros(-len(add) % block)]).reshape(-1, block) @ lower.T
+    starts, s = np.empty(len(local)), start
+    for b, end in enumerate(local[:, -1]):
+        starts[b], s = s, keep ** block * s + end
+    return (local + starts[:, None] * keep ** (i + 1.0)).ravel()[:len(add)]
 
-    The recursion is sequential by nature.  Rows stream through sorted by (id, k) in Arrow batches
-    and only a handful of numbers per key is carried, so no series is ever held in memory.
-    """
+
+def _training(df: DataFrame) -> DataFrame:
+    """``id, _nt, _mean, _var``: length, mean and variance of each id's training prefix."""
     b = df.groupBy("id").agg(F.min("k").alias("_k0"), training_length(F.count("y")).alias("_nt"))
-    d = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), b, ["id"])
-    first = d.where(F.col("k") - F.col("_k0") < F.col("_nt")).groupBy("id").agg(
-        F.avg("y").alias("_mean"), F.var_pop("y").alias("_var"))
-    d = d.join(first, "id", "left").select("id", "k", "y", "_nt", F.coalesce("_mean", F.lit(0.0)).alias("_mean"),
-                                           F.coalesce("_var", F.lit(0.0)).alias("_var"))
+    known = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), b, ["id"])
+    first = known.where(F.col("k") - F.col("_k0") < F.col("_nt")).groupBy("id").agg(F.avg("y").alias("_mean"), F.var_pop("y").alias("_var"))
+    return b.join(first, "id", "left").select("id", "_nt", F.coalesce("_mean", F.lit(0.0)).alias("_mean"), F.coalesce("_var", F.lit(0.0)).alias("_var"))
+
+
+def sd_ewma_charts(df: DataFrame, *, lam: float = 0.2, theta: float = 0.05, limit: float = 3.0, m: int = 5, size: int = CHUNK) -> DataFrame:
+    """``id, k, sd_ewma, two_stage`` (0/1) for every known row; a key of any length is many tasks' work.
+
+    The mean z moves by an affine map along a chunk of rows, and the error variance by a map that is affine in itself and quadratic in
+    the z that enters: a few numbers say what a whole chunk does to the state.  Chunks are summed up in parallel, chained
+    per key over those numbers alone, and then replayed from their entry states for the flags.
+    """
+    key = df.schema["id"].dataType.simpleString()
+    d = cut_lineage(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y"), chunk_of("k", size).alias("_chunk")))
+
+    def sum_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values("k")["y"].to_numpy()
+        n = len(x)
+        z = _scan(1 - lam, lam * x, 0.0)
+        e, a = x - np.append(0.0, z[:-1]), (1 - lam) ** np.arange(n, dtype=float)
+        w = theta * (1 - theta) ** np.arange(n - 1, -1, -1, dtype=float)
+        return pd.DataFrame([(pdf["id"].iloc[0], pdf["_chunk"].iloc[0], n, (1 - lam) ** n, z[-1], (1 - theta) ** n, w @ (e * e), -2 * w @ (e * a), w @ (a * a), x[-m:])],
+                            columns=["id", "_chunk", "n", "za", "zb", "vg", "c0", "c1", "c2", "tail"])
+
+    maps = d.groupBy("id", "_chunk").applyInPandas(
+        sum_up, f"id {key}, _chunk bigint, n bigint, za double, zb double, vg double, c0 double, c1 double, c2 double, tail array<double>")
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        id_, nt, z, v = (pdf[c].iloc[0] for c in ("id", "_nt", "_mean", "_var"))
+        n, tail, out = 0, [], []
+        for chunk, rows, za, zb, vg, c0, c1, c2, ends in zip(*(pdf[c] for c in ("_chunk", "n", "za", "zb", "vg", "c0", "c1", "c2", "tail"))):
+            out.append((id_, chunk, n, z, v, tail, nt))
+            z, v = za * z + zb, vg * v + c0 + c1 * z + c2 * z * z
+            n, tail = n + rows, [*tail, *ends][-m:]
+        return pd.DataFrame(out, columns=["id", "_chunk", "n", "z", "v", "tail", "nt"])
+
+    entry = join_params(maps, _training(df), ["id"]).groupBy("id").applyInPandas(
+        chain, f"id {key}, _chunk bigint, n bigint, z double, v double, tail array<double>, nt bigint")
+
+    def replay(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        x, s = rows["y"].to_numpy(), start.iloc[0]
+        err = x - np.append(s["z"], _scan(1 - lam, lam * x, s["z"])[:-1])
+        var = np.append(s["v"], _scan(1 - theta, theta * err * err, s["v"])[:-1])
+        over = (s["n"] + np.arange(len(x)) >= s["nt"]) & (np.abs(err) > limit * np.sqrt(np.maximum(var, 1e-12)))
+        # Second stage: the point must also stand apart from the m values before it.
+        stage, past = np.zeros(len(x), bool), np.concatenate([np.asarray(s["tail"], float), x])
+        shift = len(past) - len(x)
+        for i in np.flatnonzero(over):
+            if i + shift >= m:
+                near = past[i + shift - m:i + shift]
+                stage[i] = abs(x[i] - near.mean()) > limit * near.std(ddof=1)
+        return pd.DataFrame({"id": rows["id"], "k": rows["k"], "sd_ewma": over.astype("int32"), "two_stage": stage.astype("int32")})
+
+    return d.groupBy("id", "_chunk").cogroup(cut_lineage(entry).groupBy("id", "_chunk")).applyInPandas(replay, f"id {key}, k bigint, sd_ewma int, two_stage int")
+
+
+def pewma_chart(df: DataFrame) -> DataFrame:
+    """``id, k, pewma`` (0/1) for every known row.
+
+    The weight of a value depends on its own likelihood, so this recursion alone is sequential.  Rows stream through sorted by
+    (id, k) in Arrow batches and only a handful of numbers per key is carried, so no series is ever held in memory.
+    """
+    d = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), _training(df), ["id"])
     d = d.repartition("id").sortWithinPartitions("id", "k")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,14 +189,15 @@ def ewma_charts(df: DataFrame) -> DataFrame:
             for i, x, nt, mean, var in zip(pdf["id"], pdf["y"], pdf["_nt"], pdf["_mean"], pdf["_var"]):
                 if i != key:
                     key, chart = i, Ewma(mean, var, nt)
-                flags.append(chart.update(x))
-            out = pd.DataFrame(flags, columns=["pewma", "sd_ewma", "two_stage"]).astype("int32")
-            out.insert(0, "k", pdf["k"].to_numpy())
-            out.insert(0, "id", pdf["id"].to_numpy())
-            yield out
+                flags.append(chart.update(x)[0])
+            yield pd.DataFrame({"id": pdf["id"], "k": pdf["k"], "pewma": np.array(flags, "int32")})
+
+    return d.mapInPandas(run, f"id {df.schema['id'].dataType.simpleString()}, k bigint, pewma int")
+
 
-    schema = f"id {df.schema['id'].dataType.simpleString()}, k bigint, pewma int, sd_ewma int, two_stage int"
-    return d.mapInPandas(run, schema)
+def ewma_charts(df: DataFrame) -> DataFrame:
+    """``id, k, pewma, sd_ewma, two_stage`` (0/1) for every known row."""
+    return pewma_chart(df).join(sd_ewma_charts(df), ["id", "k"])
 
 
 def knn_conformal(df: DataFrame, threshold: float = 0.95, dim: int = 5, train: int = 750, share: float = 0.1,
@@ -193,31 +258,40 @@ def point_cost(df: DataFrame, prefix_only: bool = False, penalty: float = 3.0) -
     return j.where((F.col("_z2") > 1) & (F.col("_z2") - 1 - F.log("_z2") > penalty * F.log("_n"))).select("id", "k")
 
 
-def rank_by(df: DataFrame, value: str, name: str, cuts: int = 64) -> DataFrame:
-    """Exact 1-based rank of ``value`` per id: value bins from a sketch, ranks inside, offsets between."""
-    q = df.groupBy("id").agg(F.percentile_approx(value, [i / cuts for i in range(1, cuts)], 1000).alias("_q"))
-    d = join_params(df, q, ["id"]).withColumn("_bin", F.size(F.filter("_q", lambda c: c < F.col(value)))).drop("_q")
-    n = d.groupBy("id", "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    off = n.select("id", "_bin", F.coalesce(F.sum("_c").over(
-        Window.partitionBy("id").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    w = Window.partitionBy("id", "_bin").orderBy(value, "k")
-    return d.join(off, ["id", "_bin"]).withColumn(name, F.row_number().over(w) + F.col("_o")).drop("_bin", "_o")
-
-
-def knn_gap(df: DataFrame, k: int = 10, alpha: float = 0.05, look: int = 25) -> DataFrame:
-    """Distance to the k-th nearest value; the first gap in the upper half of the sorted distances
-    that is ``ln(1/alpha)`` times the mean of the ``look`` gaps before it starts the outliers."""
-    d = cut_lineage(rank_by(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), "y", "_r"))
-
-    def dist(w):
-        options = []
-        for up in range(k + 1):
-            lo = F.col("y") - F.lag("y", k - up).over(w) if k > up else F.lit(0.0)
-            hi = F.lead("y", up).over(w) - F.col("y") if up else F.lit(0.0)
-            options.append(F.when(lo.isNotNull() & hi.isNotNull(), F.greatest(lo, hi)))
-        return {"_d": F.least(*options)}
-    d = halo_select(d, dist, k, k, pos="_r").where("_d IS NOT NULL").drop("_r")
-    d = cut_lineage(rank_by(d, "_d", "_r"))
+def knn_distance(df: DataFrame, k: int | None = None, share: float = 0.1, rows: int = CHUNK) -> DataFrame:
+    """``id, k, y, _d``: distance of each known value to its k-th nearest other value of the same id.
+
+    ``k`` is ``share`` of the id's known values (at least one) unless given.  In order of value, the k nearest of a point and
+    itself are k + 1 neighbours: those from rank r to r + k, where the point's value splits the midpoints (y[r] + y[r + k]) / 2.  So one
+    join by rank makes the midpoints, and one merge of points and midpoints gives the best range on either side; the work
+    does not grow with k, and no task holds an id.  Ids with a single value have no distance and are left out.
+    """
+    d = cut_lineage(running(cut_lineage(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y"))), "y", rank="_r", rows=rows))
+    n = d.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+    kk = F.least(F.greatest(F.floor(F.col("_n") * share), F.lit(1)) if k is None else F.lit(k), F.col("_n") - 1).cast("bigint")
+    n = n.where("_n > 1").select("id", kk.alias("_kk"))
+    high = join_params(d.select("id", "_r", F.col("y").alias("_hi")), n).select("id", (F.col("_r") - F.col("_kk")).alias("_r"), "_hi").where("_r > 0")
+    mids = d.select("id", "_r", F.col("y").alias("_lo")).join(high, ["id", "_r"]).select(
+        "id", F.col("_r").alias("k"), ((F.col("_lo") + F.col("_hi")) / 2).alias("_v"), F.lit(1).alias("_kind"), "_lo", "_hi")
+    none = F.lit(None).cast("double")
+    points = d.join(n, "id", "left_semi").select("id", "k", F.col("y").alias("_v"), F.lit(0).alias("_kind"), none.alias("_lo"), none.alias("_hi"))
+    # At equal values points come before midpoints.
+    both = value_bins(cut_lineage(points.unionByName(mids)), "_v", sub=F.col("_kind") * F.lit(1 << 40) + chunk_of("k"), rows=rows)
+    per = both.groupBy("id", "_bin", "_sub").agg(F.max("_lo").alias("_lo0"), F.min("_hi").alias("_hi0"))
+    up, down = (Window.partitionBy("id").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in (("_bin", "_sub"), (F.desc("_bin"), F.desc("_sub"))))
+    per = per.select("id", "_bin", "_sub", F.max("_lo0").over(up).alias("_lo0"), F.min("_hi0").over(down).alias("_hi0"))
+    inner, order = Window.partitionBy("id", "_bin", "_sub"), ("_v", "_kind", "k")
+    back, ahead = (inner.orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in (order, [F.desc(c) for c in order]))
+    lo, hi = F.greatest(F.max("_lo").over(back), F.col("_lo0")), F.least(F.min("_hi").over(ahead), F.col("_hi0"))
+    near = F.greatest(F.least(F.col("_v") - lo, hi - F.col("_v")), F.lit(0.0))
+    return both.join(per, ["id", "_bin", "_sub"]).withColumn("_d", near).where("_kind = 0").select("id", "k", F.col("_v").alias("y"), "_d")
+
+
+def knn_gap(df: DataFrame, k: int | None = None, alpha: float = 0.05, look: int = 25, share: float = 0.1) -> DataFrame:
+    """Distance to the k-th nearest value (k a ``share`` of the values); the first gap in the upper half of the sorted
+    distances that is ``ln(1/alpha)`` times the mean of the ``look`` gaps before it starts the outliers."""
+    d = cut_lineage(knn_distance(df, k, share))
+    d = cut_lineage(running(d.select("id", "k", "_d"), "_d", rank="_r"))
     d = halo_select(d, lambda w: {"_gap": F.col("_d") - F.lag("_d").over(w)}, 1, pos="_r")
     d = halo_select(d, lambda w: {"_mean": F.avg("_gap").over(w.rowsBetween(-look, -1))}, look, pos="_r")
     n = d.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
@@ -226,8 +300,9 @@ def knn_gap(df: DataFrame, k: int = 10, alpha: float = 0.05, look: int = 25) ->
     return d.join(bound, "id").where(F.col("_r") >= F.col("_b")).select("id", "k")
 
 
-METHODS = ("forecast", "anomalize", "otsad_cpp", "otsad_cpsd", "otsad_cpts", "otsad_knn", "anomaly_capa",
-           "anomaly_scapa", "stray")
+# The groups of detectors by name and the columns they vote with.
+GROUPS = {"forecast": ("forecast",), "anomalize": ("anomalize",), "otsad": ("otsad_cpp", "otsad_cpsd", "otsad_cpts"), "otsad_knn": ("otsad_knn",),
+          "anomaly": ("anomaly_capa", "anomaly_scapa"), "stray": ("stray",)}
 DEFAULT = ("forecast", "anomalize", "stray", "otsad", "anomaly")
 
 
@@ -236,8 +311,11 @@ def detect(df: DataFrame, methods: Sequence[str] = DEFAULT, ranking: Sequence[st
     """``id, ts, value, score, score_w`` and one 0/1 column per detector.
 
     ``score`` is the mean vote; ``score_w`` weights the columns in order of ``ranking`` with
-    ``m, m-1, .. 1`` over their sum.
+    ``m, m-1, .. 1`` over their sum.  Unknown method names and an empty choice are refused.
     """
+    unknown = [m for m in methods if m not in GROUPS]
+    if unknown or not methods:
+        raise ValueError(f"choose methods from {sorted(GROUPS)}: {unknown or 'none given'}")
     d = cut_lineage(df.select("id", "k", "ts", F.col("y").cast("double").alias("y")))
     found: dict[str, DataFrame] = {}
     if "forecast" in methods:
@@ -245,8 +323,9 @@ def detect(df: DataFrame, methods: Sequence[str] = DEFAULT, ranking: Sequence[st
     if "anomalize" in methods:
         found["anomalize"] = decompose_gesd(d, period)
     if "otsad" in methods:
-        charts = cut_lineage(ewma_charts(d))
-        for name, c in (("otsad_cpp", "pewma"), ("otsad_cpsd", "sd_ewma"), ("otsad_cpts", "two_stage")):
+        found["otsad_cpp"] = pewma_chart(d).where("pewma = 1").select("id", "k")
+        charts = cut_lineage(sd_ewma_charts(d).where("sd_ewma = 1"))
+        for name, c in (("otsad_cpsd", "sd_ewma"), ("otsad_cpts", "two_stage")):
             found[name] = charts.where(F.col(c) == 1).select("id", "k")
     if "otsad_knn" in methods:
         found["otsad_knn"] = knn_conformal(d)

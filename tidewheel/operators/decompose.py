@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.core import exact_quantiles, join_params, with_neighbours
+from tidewheel.core import exact_quantiles, join_params, running, with_neighbours
 from tidewheel.operators.windows import augment, loess, rolling_median, slide
 from tidewheel.session import cut_lineage
 
@@ -99,16 +99,16 @@ def anomaly_diagnostics(df: DataFrame, y: str = "y", period: int = 7, alpha: flo
 
     At most ``max_anomalies`` of a series' points are flagged, the farthest outside first.
     """
-    d = stl(df, y, period, keys=keys)
+    d = cut_lineage(stl(df, y, period, keys=keys))
     d = join_params(d, remainder_limits(d, 0.15 / alpha, keys), keys)
     excess = F.greatest(F.col("rem_l1") - F.col("remainder"), F.col("remainder") - F.col("rem_l2"))
     d = d.withColumn("_x", excess)
     n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_x") > 0, 1)).alias("_f"))
     # Only ids with more flags than allowed need a ranking, and only of their flagged rows.
     over = n.where(F.col("_f") > F.floor(F.col("_n") * max_anomalies))
-    w = Window.partitionBy(*keys).orderBy(F.desc("_x"), "k")
-    dropped = (d.where(F.col("_x") > 0).join(over, list(keys)).withColumn("_r", F.row_number().over(w))
-                .where(F.col("_r") > F.floor(F.col("_n") * max_anomalies)).select(*keys, "k", F.lit(1).alias("_cap")))
+    flagged = cut_lineage(d.where(F.col("_x") > 0).join(over, list(keys)).select(*keys, "k", "_n", (-F.col("_x")).alias("_d")))
+    dropped = (running(flagged, "_d", rank="_r", keys=keys)
+               .where(F.col("_r") > F.floor(F.col("_n") * max_anomalies)).select(*keys, "k", F.lit(1).alias("_cap")))
     j = d.join(dropped, [*keys, "k"], "left")
     return (j.withColumn("anomaly", F.when((F.col("_x") > 0) & F.col("_cap").isNull(), 1).otherwise(0))
              .withColumn("band_lower", F.col("season") + F.col("trend") + F.col("rem_l1"))

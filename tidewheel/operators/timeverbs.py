@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.core import (CHUNK, Step, chunk_of, col, epoch_second, exact_quantiles, parse_step, step_index,
+from tidewheel.core import (CHUNK, Step, chunk_of, col, epoch_day, epoch_second, exact_quantiles, parse_step, step_index,
                             step_start)
 
 
@@ -124,9 +124,53 @@ def horizon_cells(length_out: int | str, by: str | Step) -> int:
     return want.seconds // s.seconds
 
 
-def future_frame(df: DataFrame, by: str | Step, length_out: int | str, *, keys: Sequence[str] = ("id",),
-                 bind: bool = False) -> DataFrame:
-    """The next cells of every series; other columns are NULL when bound to the data."""
+def infer_steps(df: DataFrame, *, keys: Sequence[str] = ("id",), ts: str = "ts") -> DataFrame:
+    """``keys, last_ts, months, seconds, month_end, n_steps``: the commonest step between neighbouring stamps of each key.
+
+    A step is a number of months where day of month and time of day stay (or both stamps end their months), else seconds; the other
+    field is 0.  Ties go to the shorter step, repeated stamps count once, and keys without two different stamps have NULL steps.
+    """
+    d = df.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).cast("timestamp_ntz").alias("ts"))
+    facts = d.groupBy(*keys).agg(F.max("ts").alias("last_ts"), F.min((F.last_day("ts") == F.to_date("ts")).cast("int")).alias("_ends"))
+    sec = epoch_second("ts")
+    d = _with_previous(d.select(*keys, "ts", sec.alias("k"), sec.alias("_s")), keys).withColumn("_gap", F.col("_s") - F.col("_ps")).where("_gap > 0")
+    before = step_start("_ps", "second")
+    ends = lambda c: F.last_day(c) == F.to_date(c)
+    whole = (F.pmod("_gap", F.lit(86400)) == 0) & ((F.dayofmonth("ts") == F.dayofmonth(before)) | (ends(F.col("ts")) & ends(before)))
+    months = F.when(whole, step_index("ts", "month") - step_index(before, "month")).otherwise(F.lit(0)).cast("int")
+    n = d.groupBy(*keys, months.alias("months"), F.when(months > 0, 0).otherwise(F.col("_gap")).alias("seconds")).agg(F.count(F.lit(1)).alias("n_steps"))
+    size = F.col("months") * F.lit(30.4375 * 86400) + F.col("seconds")
+    top = n.groupBy(*keys).agg(F.max(F.struct("n_steps", (-size).alias("_o"), "months", "seconds")).alias("_t"))
+    return facts.join(top, list(keys), "left").select(*keys, "last_ts", "_t.months", "_t.seconds", ((F.col("_ends") == 1) & (F.col("_t.months") > 0)).alias("month_end"), "_t.n_steps")
+
+
+def _cells(length_out: int | str) -> Column:
+    """``horizon_cells`` as a column over ``months, seconds`` of each key's own step."""
+    if isinstance(length_out, int):
+        return F.lit(length_out)
+    want, month = parse_step(length_out), 30.4375 * 86400
+    if want.months:
+        return F.when(F.col("months") > 0, F.floor(want.months / F.col("months"))).otherwise(F.round(want.months * month / F.col("seconds")))
+    return F.when(F.col("months") > 0, F.round(want.seconds / (F.col("months") * month))).otherwise(F.floor(want.seconds / F.col("seconds")))
+
+
+def future_frame(df: DataFrame, by: str | Step | None, length_out: int | str, *, keys: Sequence[str] = ("id",),
+                 bind: bool = False, ts: str = "ts") -> DataFrame:
+    """The next cells of every series; other columns are NULL when bound to the data.
+
+    Without ``by`` every key goes on in its own commonest step, months as months: ``keys, ts, h`` for hourly, daily and
+    monthly series in one plan.  ``length_out`` is a count or a span (each key gets the cells its step has in it).  Keys whose step
+    is unknown (fewer than two stamps) get no future cells.
+    """
+    if by is None:
+        n = _cells(length_out).cast("int")
+        d = infer_steps(df, keys=keys, ts=ts).where(F.col("n_steps").isNotNull() & (n > 0)).withColumn("h", F.explode(F.sequence(F.lit(1), n)))
+        day = F.add_months(F.to_date("last_ts"), F.col("h") * F.col("months"))
+        day = F.when(F.col("month_end"), F.last_day(day)).otherwise(day)
+        clock = epoch_second("last_ts") - epoch_day("last_ts") * 86400
+        at = F.when(F.col("months") > 0, epoch_day(day) * 86400 + clock).otherwise(epoch_second("last_ts") + F.col("h") * F.col("seconds"))
+        out = d.select(*keys, step_start(at.cast("bigint"), "second").alias(ts), "h")
+        return df.unionByName(out.drop("h"), allowMissingColumns=True) if bind else out
     h = horizon_cells(length_out, by)
     last = df.groupBy(*keys).agg(F.max("k").alias("_k"))
     out = (last.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(h))))

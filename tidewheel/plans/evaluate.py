@@ -5,7 +5,8 @@ Flat schema: ``model_id, id, k, ts, actual, prediction, residual``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.core import exact_quantiles, halo_select, join_params
 from tidewheel.operators.verbs import slice_ranked
+from tidewheel.session import cut_lineage
 
 # Two-sided standard normal quantiles.
 Z = {80: 1.2815515655446004, 90: 1.6448536269514722, 95: 1.959963984540054, 99: 2.5758293035489004}
@@ -131,3 +133,40 @@ def forecast_table(actual: DataFrame, forecast: DataFrame, y: str = "y", keep: S
 def status_report(fits: DataFrame) -> DataFrame:
     """Series whose fit reported a problem."""
     return fits.where(F.col("status") != "ok").select("model_id", "id", "status")
+
+
+def nested_forecast(models: dict[str, Callable[[DataFrame, DataFrame], DataFrame]], train: DataFrame, future: DataFrame, *,
+                    needs: dict[str, int] | None = None, y: str = "y") -> tuple[DataFrame, DataFrame]:
+    """Run every model on every series and keep what fails: (forecasts, report).
+
+    ``models``: name -> ``f(train, future)``, which returns ``id, k, ts, prediction``.  ``forecasts`` (``model_id, id, k, ts, prediction``) has every
+    asked stamp of every model.  ``report`` has one row per (model, id): ``status`` is ``ok``, ``partial`` or ``failed``, ``error`` says why, with
+    ``n_known`` training values, ``n_asked`` and ``n_predicted`` stamps.  A model whose job raises fails for all ids with the
+    exception's first line and does not stop the others; a series that cannot be fitted fails alone.  ``needs`` names the known
+    values that a model asks for (1 by default).
+    """
+    spark, needs = train.sparkSession, needs or {}
+    asked = cut_lineage(future.select("id", "k", "ts"))
+    parts, raised = [], {}
+    for name, f in models.items():
+        try:
+            got = cut_lineage(f(train, future).select("id", "k", F.col("prediction").cast("double").alias("prediction")))
+        except Exception as e:  # noqa: BLE001 - whatever a model raises becomes its report
+            raised[name] = f"{type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else ''}"
+            got = asked.select("id", "k", F.lit(None).cast("double").alias("prediction"))
+        # One prediction per stamp: a NaN is none.
+        got = got.groupBy("id", "k").agg(F.max(F.when(~F.isnan("prediction"), F.col("prediction"))).alias("prediction"))
+        parts.append(asked.join(got, ["id", "k"], "left").select(F.lit(name).alias("model_id"), "id", "k", "ts", "prediction"))
+    forecasts = cut_lineage(reduce(DataFrame.unionByName, parts))
+    value = F.col(y).cast("double")
+    value = F.when(~F.isnan(value), value)
+    facts = train.groupBy("id").agg(F.count(value).alias("n_known"), (F.min(value) == F.max(value)).alias("_flat"))
+    rows = spark.createDataFrame([(n, needs.get(n, 1), raised.get(n)) for n in models], "model_id string, _need int, _raised string")
+    n = forecasts.groupBy("model_id", "id").agg(F.count(F.lit(1)).alias("n_asked"), F.count("prediction").alias("n_predicted"))
+    d = n.join(rows, "model_id").join(facts, "id", "left").withColumn("n_known", F.coalesce("n_known", F.lit(0)))
+    error = (F.when(F.col("n_predicted") == F.col("n_asked"), F.lit(None).cast("string")).when(F.col("_raised").isNotNull(), F.col("_raised"))
+             .when(F.col("n_known") == 0, F.lit("no known value"))
+             .when(F.col("n_known") < F.col("_need"), F.concat(F.col("n_known").cast("string"), F.lit(" known values, needs "), F.col("_need").cast("string")))
+             .when(F.col("_flat"), F.lit("constant series")).otherwise(F.lit("no stable fit")))
+    status = F.when(F.col("n_predicted") == F.col("n_asked"), "ok").when(F.col("n_predicted") > 0, "partial").otherwise("failed")
+    return forecasts, d.select("model_id", "id", status.alias("status"), error.alias("error"), "n_known", "n_asked", "n_predicted")

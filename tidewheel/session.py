@@ -1,10 +1,13 @@
-"""Session settings and lineage cuts."""
+"""Session settings, lineage cuts and jobs side by side."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -18,6 +21,10 @@ SETTINGS = {
 }
 
 
+#: Independent jobs that run at a time.
+WORKERS = 4
+
+
 def get_spark(app: str = "tidewheel", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library expects; a cluster's own master is left alone."""
     builder = SparkSession.builder.appName(app)
@@ -50,3 +57,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], workers: int = WORKERS) -> list:
+    """Results of independent ``jobs``, in order; at most ``workers`` run at a time, the first error is raised."""
+    if workers <= 1 or len(jobs) <= 1:
+        return [j() for j in jobs]
+    with ThreadPoolExecutor(min(workers, len(jobs))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]
+        return [f.result() for f in running]
