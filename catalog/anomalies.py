@@ -54,15 +54,19 @@ def _(spark, sf):
     return AN.sd_ewma_charts(d).where("sd_ewma = 1").join(d, ["id", "k"]).select("id", "ts")
 
 
-# One step of the three charts: the state before (s1, s2, z, v) meets the next value.
-_CHARTS = (f"WITH RECURSIVE {P.EVENT_HOURS}, b AS (SELECT id, ts, y, row_number() OVER w AS i, least(floor(count(*) OVER (PARTITION BY id) * 0.15), 750) AS nt, "
-           "count(y) OVER p AS c5, avg(y) OVER p AS m5, stddev_samp(y) OVER p AS s5 FROM eh WINDOW w AS (PARTITION BY id ORDER BY k), p AS (PARTITION BY id ORDER BY k ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)), "
-           "f AS (SELECT id, coalesce(avg(y) FILTER (i <= nt), 0) AS mean, coalesce(var_pop(y) FILTER (i <= nt), 0) AS var FROM b GROUP BY 1), "
-           "rr AS (SELECT id, CAST(0 AS BIGINT) AS i, CAST(NULL AS TIMESTAMP) AS ts, mean AS s1, var + mean * mean AS s2, mean AS z, var AS v, 0 AS pewma, 0 AS two_stage FROM f UNION ALL "
-           "SELECT id, i, ts, a * s1 + (1 - a) * y, a * s2 + (1 - a) * y * y, z + 0.2 * (y - z), 0.05 * (y - z) * (y - z) + 0.95 * v, CASE WHEN ready AND abs(dist) > 3 THEN 1 ELSE 0 END, "
-           "CASE WHEN ready AND abs(y - z) > 3 * sqrt(greatest(v, 1e-12)) AND c5 = 5 AND abs(y - m5) > 3 * s5 THEN 1 ELSE 0 END "
-           "FROM (SELECT *, 0.95 * (1 - 0.5 * exp(-0.5 * least(dist * dist, 700.0)) / sqrt(2 * pi())) AS a FROM (SELECT b.id, b.i, b.ts, y, s1, s2, z, v, c5, m5, s5, b.i - 1 >= nt AS ready, "
-           "(y - s1) / sqrt(greatest(s2 - s1 * s1, 1e-12)) AS dist FROM rr JOIN b ON b.id = rr.id AND b.i = rr.i + 1))) ")
+def charts_sql(base, train="least(floor(count(*) OVER (PARTITION BY id) * 0.15), 750)"):
+    """The three charts over CTE ``eh`` (id, ts, k, y): each step, the state before (s1, s2, z, v) meets the next value."""
+    return (f"WITH RECURSIVE {base}, b AS (SELECT id, ts, y, row_number() OVER w AS i, {train} AS nt, "
+            "count(y) OVER p AS c5, avg(y) OVER p AS m5, stddev_samp(y) OVER p AS s5 FROM eh WINDOW w AS (PARTITION BY id ORDER BY k), p AS (PARTITION BY id ORDER BY k ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)), "
+            "f AS (SELECT id, coalesce(avg(y) FILTER (i <= nt), 0) AS mean, coalesce(var_pop(y) FILTER (i <= nt), 0) AS var FROM b GROUP BY 1), "
+            "rr AS (SELECT id, CAST(0 AS BIGINT) AS i, CAST(NULL AS TIMESTAMP) AS ts, mean AS s1, var + mean * mean AS s2, mean AS z, var AS v, 0 AS pewma, 0 AS sd_ewma, 0 AS two_stage FROM f UNION ALL "
+            "SELECT id, i, ts, a * s1 + (1 - a) * y, a * s2 + (1 - a) * y * y, z + 0.2 * (y - z), 0.05 * (y - z) * (y - z) + 0.95 * v, CASE WHEN ready AND abs(dist) > 3 THEN 1 ELSE 0 END, "
+            "CASE WHEN ready AND abs(y - z) > 3 * sqrt(greatest(v, 1e-12)) THEN 1 ELSE 0 END, CASE WHEN ready AND abs(y - z) > 3 * sqrt(greatest(v, 1e-12)) AND c5 = 5 AND abs(y - m5) > 3 * s5 THEN 1 ELSE 0 END "
+            "FROM (SELECT *, 0.95 * (1 - 0.5 * exp(-0.5 * least(dist * dist, 700.0)) / sqrt(2 * pi())) AS a FROM (SELECT b.id, b.i, b.ts, y, s1, s2, z, v, c5, m5, s5, b.i - 1 >= nt AS ready, "
+            "(y - s1) / sqrt(greatest(s2 - s1 * s1, 1e-12)) AS dist FROM rr JOIN b ON b.id = rr.id AND b.i = rr.i + 1))) ")
+
+
+_CHARTS = charts_sql(P.EVENT_HOURS)
 
 
 @query("anomaly_pewma", f"{_CHARTS} SELECT id, sum(pewma) AS pewma, sum(two_stage) AS two_stage FROM rr WHERE i > 0 GROUP BY 1")

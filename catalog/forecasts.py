@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import functions as F
 
 from catalog import query
 from catalog import panels as P
+from catalog.features import _BASE
 from catalog.panels import r
 from tidewheel.forecast import arima as A
+from tidewheel.forecast import differencing as DF
 from tidewheel.forecast import smoothing as S
 from tidewheel.forecast import structural as ST
+from tidewheel.operators import decompose as DC
 from tidewheel.operators import features as FT
 from tidewheel.operators import timeverbs as T
 from tidewheel.plans import evaluate as E
@@ -135,16 +140,29 @@ def _(spark, sf):
     return _out(ST.multi_season(d, T.future_frame(d, "day", 56)))
 
 
+def _with_month(d):
+    return d.withColumn("month_start", F.when(F.dayofmonth("ts") == 1, 1.0).otherwise(0.0))
+
+
 @query("stl_ets_forecast")
 def _(spark, sf):
     d = _orders(spark, sf)
-    return _out(ST.stl_forecast(d, T.future_frame(d, "day", 56), lambda t, u: S.ets(t, u, 1, S.ses_grid()), (7, 30, 182)))
+    return _out(ST.stl_forecast(d, T.future_frame(d, "day", 56), lambda t, u: S.ets(t, u, 1), (7, 30, 182)))
 
 
 @query("stl_arima_forecast")
 def _(spark, sf):
     d = _orders(spark, sf)
-    return _out(ST.stl_forecast(d, T.future_frame(d, "day", 56), lambda t, u: A.forecast(t, u, [A.Order(1, 0, 1)]), (7,)))
+    """Three seasons at once, calendar regressors, automatic ARIMA without a season for the rest."""
+    return _out(ST.stl_forecast(_with_month(d), _with_month(T.future_frame(d, "day", 56)), lambda t, u: A.auto(t, u, 1), (7, 30, 182), xs=["month_start"]))
+
+
+@query("multi_season_decomposition")
+def _(spark, sf):
+    """Weekly, monthly and half-yearly season of every series; the components add up to it."""
+    d = DC.multi_stl(_orders(spark, sf).withColumn("y", F.col("y") / 1e5))
+    parts = ["season_7", "season_30", "season_182", "trend", "remainder"]
+    return d.select("id", "ts", *[r(c, 5) for c in parts], (F.abs(F.col("y") - sum((F.col(c) for c in parts), F.lit(0.0))) < 1e-9).alias("adds_up"))
 
 
 @query("additive_changepoint_forecast")
@@ -174,5 +192,30 @@ def _(spark, sf):
 @query("smoothing_or_arima_forecast")
 def _(spark, sf):
     d = _orders(spark, sf)
-    orders = [A.Order(0, 1, 1), A.Order(1, 1, 1), A.Order(1, 0, 1, 0, 1, 1)]
-    return _out(ST.smoothing_or_arima(d, T.future_frame(d, "day", 56), orders=orders))
+    return _out(ST.smoothing_or_arima(d, T.future_frame(d, "day", 56)))
+
+
+_KPSS = (f"WITH {P.ORDER_DAYS}, m AS (SELECT id, k, y - avg(y) OVER (PARTITION BY id) AS e, count(*) OVER (PARTITION BY id) AS n FROM od), "
+         "l AS (SELECT *, CAST(floor(4 * pow(n / 100.0, 0.25)) AS INTEGER) AS lags, sum(e) OVER (PARTITION BY id ORDER BY k) AS s FROM m), "
+         "g AS (SELECT a.id, j, sum(a.e * b.e) * CASE WHEN j = 0 THEN 1 ELSE 2 * (1 - j / (max(a.lags) + 1.0)) END AS g FROM l a, (SELECT unnest(range(0, 40)) AS j) JOIN l b ON b.id = a.id AND b.k = a.k - j WHERE j <= a.lags GROUP BY 1, 2), "
+         "v AS (SELECT id, sum(g) AS v FROM g GROUP BY 1) ")
+
+
+@query("stationarity_statistic", f"{_KPSS} SELECT id, any_value(n) AS n, any_value(lags) AS lags, round(sum(s * s) / (any_value(n) * any_value(v)), 6) AS stat FROM l JOIN v USING (id) GROUP BY 1")
+def _(spark, sf):
+    return DF.kpss(_orders(spark, sf)).select("id", "n", "lags", r("stat", 6))
+
+
+@query("differencing_choice", f"{_BASE}, f AS (SELECT id, greatest(0, 1 - var_pop(remainder) / var_pop(y - trend)) AS strength FROM stl GROUP BY 1) SELECT id, CASE WHEN strength > 0.64 THEN 1 ELSE 0 END AS seasonal_d, round(strength, 5) AS strength FROM f")
+def _(spark, sf):
+    """Strength of the weekly season and whether it asks for a seasonal difference."""
+    return DF.choose(_orders(spark, sf)).select("id", "seasonal_d", r("strength", 5))
+
+
+@query("auto_sarima_orders")
+def _(spark, sf):
+    """Differencing and order of every series: weekly totals, then daily ones with a season added."""
+    d = _orders(spark, sf)
+    wave = d.withColumn("y", F.col("y") * (1 + 0.5 * F.sin(F.col("k") * (2 * pi / 7)))).withColumn("id", F.concat("id", F.lit(" wave")))
+    both = d.unionByName(wave)
+    return A.auto_search(both, T.future_frame(both, "day", 7)).select("id", "order", "n_scored", r("score", 4))

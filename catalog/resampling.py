@@ -15,6 +15,7 @@ from tidewheel.operators import verbs as V
 from tidewheel.plans import evaluate as E
 from tidewheel.plans import resample as R
 from tidewheel.plans.registry import ModelTable, calibrate_evaluate, refit
+from tidewheel.session import cut_lineage
 from tidewheel.sources import competition as C
 
 
@@ -33,8 +34,8 @@ def _split(spark, sf):
 
 
 def _fc(spark, sf):
-    s = _split(spark, sf)
-    return simple_models().forecast(R.training(s), R.testing(s)), s
+    s = cut_lineage(_split(spark, sf))  # five models and the calibration read it
+    return cut_lineage(simple_models().forecast(R.training(s), R.testing(s))), s
 
 
 def _cal(spark, sf):

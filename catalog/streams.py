@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog import panels as P
+from catalog.anomalies import charts_sql
 from catalog.panels import r, table
 from tidewheel.forecast import learners as M
 from tidewheel.session import new_folder
@@ -39,10 +39,11 @@ def _(spark, sf):
     return LV.run_to_table(d.select("event_id", "event"), new_folder(spark))
 
 
-@query("stream_online_flags")
+@query("stream_online_flags", charts_sql("eh AS (SELECT event_type AS id, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, value) AS k, value AS y FROM events)", "50") +
+       "SELECT id, ts, pewma, sd_ewma, two_stage FROM rr WHERE i > 0 AND (epoch_ms(ts) // 60000 + 1) * 60000 <= (SELECT epoch_ms(max(ts)) - 600000 FROM events)")
 def _(spark, sf):
-    d = LV.run_to_table(LV.online_flags(_events(spark, sf)), new_folder(spark))
-    return d.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("pewma", "sd_ewma", "two_stage")])
+    """Control charts in event time: every row whose minute the watermark has passed, flagged as a batch run would flag it."""
+    return LV.run_to_table(LV.online_flags(_events(spark, sf)), new_folder(spark))
 
 
 @query("stream_model_scoring")

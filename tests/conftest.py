@@ -14,4 +14,6 @@ def spark():
                                          "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from tidewheel.session import clear_scratch
+    clear_scratch(s)
     s.stop()

@@ -120,3 +120,33 @@ def test_detect_refuses_unknown_methods(spark):
     for bad in (["stray", "none"], []):
         with pytest.raises(ValueError):
             AN.detect(d, methods=bad)
+
+
+def plain_conformal(y, threshold, dim, train, share):
+    x = [np.nan if v is None else float(v) for v in y]
+    n, known = len(x), sum(v is not None for v in y)
+    kk, nt = max(int(known * share), 1), max(min(int(known * 0.15), train), 2)
+    first = next(i for i, v in enumerate(y) if v is not None)
+    vec = lambda i: np.array(x[i - dim + 1:i + 1]) if i >= dim - 1 else np.array([np.nan])
+    s, out = [np.nan] * n, []
+    for i in range(n):
+        if not np.isnan(vec(i)).any():
+            d = sorted(np.sqrt(((vec(i) - vec(j)) ** 2).sum()) for j in range(max(0, i - nt), i) if not np.isnan(vec(j)).any())[:kk]
+            s[i] = np.mean(d) if d else np.nan
+    for i in range(n):
+        past = [v for v in s[max(0, i - nt):i] if v == v]
+        if i >= nt + dim and s[i] == s[i] and past and np.mean([v < s[i] for v in past]) >= threshold:
+            out.append(10000 + i)
+    return out if first == 0 else None
+
+
+@pytest.mark.parametrize("size", [40, 4096])
+def test_knn_conformal_equals_brute_force(spark, size):
+    a = list(spiky(400, 9))
+    a[100:104], a[250] = [None] * 4, None
+    series = {"a": a, "b": list(spiky(60, 10)), "c": [1.0, 2.0, 3.0], "d": [None] * 20}
+    for train, share in ((40, 0.02), (25, 0.5)):
+        got = AN.knn_conformal(panel(spark, series), train=train, share=share, size=size).collect()
+        assert sorted(r.k for r in got if r.id == "a") == plain_conformal(a, 0.95, 5, train, share)
+        assert sorted(r.k for r in got if r.id == "b") == plain_conformal(series["b"], 0.95, 5, train, share)
+        assert {r.id for r in got} <= {"a", "b"} and len(got) > 5

@@ -134,6 +134,11 @@ def halo_select(df: DataFrame, build, before: int, after: int = 0, *, keys: Sequ
     return h.withColumns(build(w)).where("_own").drop("_chunk", "_own")
 
 
+def at_lag(y: str | Column, k: int, w) -> Column:
+    """Value exactly ``k`` positions back (ahead if negative) in a window ordered by position: NULL over a gap, whatever the chunks."""
+    return F.first(col(y)).over(w.rangeBetween(-k, -k)) if k else col(y)
+
+
 def with_position(df: DataFrame, order: str = "ts", *, keys: Sequence[str] = ("id",), step="day",
                   name: str = "k", tie: Sequence[str] = (), size: int = 1 << 10) -> DataFrame:
     """Exact 1-based row number per key without a window over the whole key.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,10 @@ class Order:
         return terms(self.p, self.P), terms(self.q, self.Q)
 
 
-AUTO = [Order(p, d, q, P, D, Q) for d, D in ((1, 0), (0, 1)) for p, q in ((0, 1), (1, 0), (1, 1), (2, 1))
-        for P, Q in ((0, 0), (1, 0), (0, 1), (1, 1))]
+def candidates(d: int, D: int, max_p: int = 2, max_q: int = 2, seasonal: bool = True) -> list[Order]:
+    """All orders up to the limits that share one differencing."""
+    PQ = [(P, Q) for P in (0, 1) for Q in (0, 1)] if seasonal else [(0, 0)]
+    return [Order(p, d, q, P, D, Q) for p in range(max_p + 1) for q in range(max_q + 1) for P, Q in PQ if p + q + P + Q > 0]
 
 
 def _diff_poly(d: int, D: int, period: int) -> np.ndarray:
@@ -84,13 +87,13 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
         keys: Sequence[str] = ("id",)) -> tuple[DataFrame, DataFrame, list[int], list[int]]:
     """Fit orders that share (d, D).
 
-    Returns (model rows, training rows with ``_w, _e, fitted``, AR lags, MA lags).
+    Returns (model rows, training rows with ``_w, _e, fitted, _res``, AR lags, MA lags).
     """
     d0, D0 = orders[0].d, orders[0].D
     poly = _diff_poly(d0, D0, period)
     ar = sorted({l for o in orders for l in o.lags(period)[0]})
     ma = sorted({l for o in orders for l in o.lags(period)[1]})
-    long = list(range(1, min(14, max(2 * period, 10)) + 1))
+    long = list(range(1, _long(period) + 1))
     base = train.select(*keys, "k", "ts", F.col(y).cast("double").alias("_y"))
     steps = {f"_p{i}": lag("_y", i) for i in range(1, len(poly)) if poly[i]}
     w = F.col("_y")
@@ -113,7 +116,7 @@ def fit(train: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y"
     model = cut_lineage(g.select(*keys, "n", _subset_solver(cands, len(xs))("n", "means", "cov").alias("_f"))
                         .select(*keys, "n", "_f.*"))
     d = L.predict(d, model, xs, keys=keys, out="_p")
-    d = d.withColumn("_e2", F.coalesce(F.col("_w") - F.col("_p"), F.lit(0.0))).withColumn(
+    d = d.withColumn("_res", F.coalesce(F.col("_w") - F.col("_p"), F.lit(0.0))).withColumn(
         "fitted", F.col("_y") - (F.col("_w") - F.col("_p"))).drop(*xs, "_p")
     return model, d, ar, ma
 
@@ -129,9 +132,11 @@ def _extend(poly: np.ndarray, ar: list[int], ma: list[int]):
                 out.append(None if c is None else [])
                 continue
             t, h = list(t), int(h)
-            yv = [x["y"] for x in t]
-            wv = [x["w"] for x in t]
-            ev = [x["e"] for x in t]
+            yv, wv, ev = [x["y"] for x in t], [x["w"] for x in t], [x["e"] for x in t]
+            # An unknown value is carried over from the known one before it; at the head, from the series' last known one.
+            known = next((v for v in yv if v is not None), t[-1]["known"])
+            for i, v in enumerate(yv):
+                known = yv[i] = known if v is None else v
             for _ in range(h):
                 v = b0
                 for j, l in enumerate(ar):
@@ -146,30 +151,70 @@ def _extend(poly: np.ndarray, ar: list[int], ma: list[int]):
     return udf, back
 
 
+def _long(period: int) -> int:
+    """Lags of the first, long autoregression."""
+    return min(14, max(2 * period, 10))
+
+
+def burn_in(orders: Sequence[Order], period: int) -> int:
+    """Cells at the head of a series that some order of the set cannot be judged on."""
+    return max(len(_diff_poly(o.d, o.D, period)) - 1 + max([_long(period), *o.lags(period)[0]]) + max([0, *o.lags(period)[1]]) for o in orders)
+
+
 def search(train: DataFrame, future: DataFrame, orders: Sequence[Order], period: int = 7, y: str = "y",
-           keys: Sequence[str] = ("id",), horizon: int | None = None) -> DataFrame:
-    """``keys, last_k, path, score``: lowest AICc per observation among ``orders`` and its path.
+           keys: Sequence[str] = ("id",), horizon: int | None = None, skip: int | None = None) -> DataFrame:
+    """``keys, last_k, path, score, n_scored, order``: the best of ``orders`` per series and its path.
 
-    A path reaches the last stamp that ``future`` asks of its series, or has ``horizon`` cells where that is given.
+    Orders of one differencing are compared by AICc on the rows they share.  Differencings are then compared on equal rows too:
+    ``score`` is AICc per observation over the ``n_scored`` cells after the first ``skip`` ones (by default what no order of the set can
+    judge).  A path reaches the last stamp that ``future`` asks of its series, or has ``horizon`` cells where that is given.
     Series that no order can be fitted to are missing here; ``along`` returns their stamps without a prediction.
     """
     ends = future.groupBy(*keys).agg(F.max("k").alias("_end"))
+    skip = burn_in(orders, period) if skip is None else skip
     groups: dict[tuple[int, int], list[Order]] = {}
     for o in orders:
         groups.setdefault((o.d, o.D), []).append(o)
+    first = train.groupBy(*keys).agg(F.min("k").alias("_k0"))
     parts = None
     for (d0, D0), os in groups.items():
         model, rows, ar, ma = fit(train, os, period, y, keys)
         udf, back = _extend(_diff_poly(d0, D0, period), ar, ma)
-        tail = last_cells(rows, back, keys).groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.struct("k", F.col("_y").alias("y"), F.col("_w").alias("w"), F.col("_e2").alias("e")))).alias("_t"),
+        ends_known = rows.where("_y IS NOT NULL").groupBy(*keys).agg(F.max_by("_y", "k").alias("known"))
+        tail = join_params(last_cells(rows, back, keys), ends_known, keys).groupBy(*keys).agg(
+            F.array_sort(F.collect_list(F.struct("k", F.col("_y").alias("y"), F.col("_w").alias("w"), F.col("_res").alias("e"), "known"))).alias("_t"),
             F.max("k").alias("last_k"))
+        judged = join_params(rows, first, keys).where(F.col("fitted").isNotNull() & (F.col("k") >= F.col("_k0") + skip))
+        judged = judged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_scored"), F.sum(F.col("_res") * F.col("_res")).alias("_sse"))
         cells = F.col("_end") - F.col("last_k") if horizon is None else F.lit(horizon).cast("bigint")
-        p = tail.join(model.where("coef IS NOT NULL"), list(keys)).join(ends, list(keys)).select(
-            *keys, "last_k", (F.col("aicc") / F.col("n")).alias("score"), udf("_t", "coef", "intercept", cells).alias("path"))
+        kp = F.element_at(F.array(*[F.lit(len(o.lags(period)[0]) + len(o.lags(period)[1]) + 2) for o in os]), F.col("cand") + 1)
+        label = F.element_at(F.array(*[F.lit(f"({o.p},{o.d},{o.q})({o.P},{o.D},{o.Q})") for o in os]), F.col("cand") + 1)
+        n = F.col("n_scored")
+        score = (n * F.log(F.greatest(F.col("_sse"), F.lit(1e-12)) / n) + 2 * kp + F.when(n > kp + 1, 2 * kp * (kp + 1) / (n - kp - 1)).otherwise(F.lit(1e9))) / n
+        # Too short to be judged on common rows: by its own score, after all that are.
+        score = F.coalesce(F.when(n > 0, score), 1e9 + F.col("aicc") / F.col("n"))
+        p = tail.join(model.where("coef IS NOT NULL"), list(keys)).join(ends, list(keys)).join(judged, list(keys), "left").select(
+            *keys, "last_k", score.alias("score"), F.coalesce(n, F.lit(0)).alias("n_scored"), label.alias("order"), udf("_t", "coef", "intercept", cells).alias("path"))
         parts = p if parts is None else parts.unionByName(p)
-    return parts.groupBy(*keys).agg(F.min_by(F.struct("last_k", "path"), "score").alias("_b"),
-                                    F.min("score").alias("score")).select(*keys, "_b.last_k", "_b.path", "score")
+    return parts.groupBy(*keys).agg(F.min_by(F.struct("last_k", "path", "n_scored", "order"), "score").alias("_b"),
+                                    F.min("score").alias("score")).select(*keys, "_b.last_k", "_b.path", "score", "_b.n_scored", "_b.order")
+
+
+def auto_search(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y", keys: Sequence[str] = ("id",),
+                horizon: int | None = None, skip: int | None = None, max_p: int = 2, max_q: int = 2) -> DataFrame:
+    """``search`` where every series has its own differencing (``differencing.choose``) and all orders up to the limits.
+
+    Series of one differencing are fitted together; at most six differencings occur.
+    """
+    from tidewheel.forecast import differencing as DF
+
+    choice = cut_lineage(DF.choose(train, y, period, keys=keys))
+    found = choice.select("d", "seasonal_d").distinct().orderBy("d", "seasonal_d").collect()
+    parts = [search(train.join(choice.where((F.col("d") == r.d) & (F.col("seasonal_d") == r.seasonal_d)).select(*keys), list(keys), "left_semi"), future,
+                    candidates(r.d, r.seasonal_d, max_p, max_q, period > 1), period, y, keys, horizon, skip) for r in found]
+    if not parts:
+        return search(train, future, [Order()], period, y, keys, horizon, skip)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def forecast(train: DataFrame, future: DataFrame, orders: Sequence[Order] = (Order(1, 1, 1, 1, 1, 1),), period: int = 7,
@@ -187,4 +232,5 @@ def along(top: DataFrame, future: DataFrame, keys: Sequence[str] = ("id",)) -> D
 
 def auto(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y", keys: Sequence[str] = ("id",),
          horizon: int | None = None) -> DataFrame:
-    return forecast(train, future, AUTO, period, y, keys, horizon)
+    """Differencing by stationarity and seasonal strength, order by AICc, per series."""
+    return along(auto_search(train, future, period, y, keys, horizon), future, keys)

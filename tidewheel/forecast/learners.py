@@ -171,11 +171,16 @@ def knn(train: DataFrame, query: DataFrame, xs: Sequence[str], k: int = 50, powe
         out = []
         if len(left) and len(right):
             x, v = np.vstack(left["_x"].to_numpy()), left["_y"].to_numpy()
-            for qk, qx in zip(right["_qk"], right["_qx"]):
-                d = (np.abs(x - qx) ** power).sum(axis=1) ** (1 / power)
-                idx = np.argsort(d, kind="stable")[:k]
-                out += [(*key[:-1], qk, a, b) for a, b in zip(d[idx], v[idx])]
-        return pd.DataFrame(out, columns=[*names, "_qk", "d", "v"])
+            q, qk = np.vstack(right["_qx"].to_numpy()), right["_qk"].to_numpy()
+            block = max(1, (1 << 22) // x.size)
+            for lo in range(0, len(q), block):
+                d = (np.abs(x[None] - q[lo:lo + block, None]) ** power).sum(axis=2) ** (1 / power)
+                near = np.argsort(d, axis=1, kind="stable")[:, :k]
+                out.append(pd.DataFrame({"_qk": np.repeat(qk[lo:lo + block], near.shape[1]), "d": np.take_along_axis(d, near, 1).ravel(), "v": v[near].ravel()}))
+        found = pd.concat(out) if out else pd.DataFrame({"_qk": [], "d": [], "v": []})
+        for name, value in zip(names, key):
+            found[name] = value
+        return found[[*names, "_qk", "d", "v"]]
 
     cand = t.groupBy(*keys, "_chunk").cogroup(q.groupBy(*[f"_q_{c}" for c in (*keys, "_chunk")])).applyInPandas(
         nearest, f"{fields}, _qk bigint, d double, v double")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.core import join_params
+from tidewheel.session import cut_lineage
 
 # Up to this many regressors the cross products are plain covariance aggregates.
 NARROW = 5
@@ -106,12 +108,16 @@ def fit(df: DataFrame, y: str, xs: Sequence[str], *, keys: Sequence[str] = ("id"
         *keys, "n", "_f.*")
 
 
+def value_of(coef: str, intercept: str, xs: Sequence[str]) -> Column:
+    """``intercept + sum(coef x)``; NULL where a regressor is."""
+    terms = F.zip_with(coef, F.array(*[F.col(x).cast("double") for x in xs]), lambda c, v: c * v)
+    return F.col(intercept) + F.aggregate(terms, F.lit(0.0), lambda a, v: a + v)
+
+
 def predict(df: DataFrame, model: DataFrame, xs: Sequence[str], *, keys: Sequence[str] = ("id",),
             out: str = "prediction") -> DataFrame:
     m = model.select(*keys, F.col("coef").alias("_coef"), F.col("intercept").alias("_b0"))
-    terms = F.zip_with("_coef", F.array(*[F.col(x).cast("double") for x in xs]), lambda c, v: c * v)
-    value = F.col("_b0") + F.aggregate(terms, F.lit(0.0), lambda a, v: a + v)
-    return join_params(df, m, keys).withColumn(out, value).drop("_coef", "_b0")
+    return join_params(df, m, keys).withColumn(out, value_of("_coef", "_b0", xs)).drop("_coef", "_b0")
 
 
 def coefficients(model: DataFrame, xs: Sequence[str], keys: Sequence[str] = ("id",)) -> DataFrame:
@@ -127,3 +133,62 @@ def smooth_regression(df: DataFrame, y: str, xs: Sequence[str], *, keys: Sequenc
     """Fit and attach ``fitted`` to every row: (rows, model)."""
     model = fit(df, y, xs, keys=keys, ridge=ridge)
     return predict(df, model, xs, keys=keys, out="fitted"), model
+
+
+def terms_of(df: DataFrame, formula: str, max_levels: int = 1000) -> tuple[str, dict[str, Column], bool]:
+    """``(outcome, {name: column}, intercept)`` of ``"y ~ a + factor(b) + a:b - 1"``.
+
+    A term is a Spark SQL expression; ``factor(e)`` gives one 0/1 column per level of ``e`` in ``df`` but the first, and ``a:b`` the
+    products of the columns of both.  ``- 1`` leaves out the intercept.  Levels are read off ``df`` once: more than ``max_levels`` are refused.
+    """
+    left, sep, right = formula.partition("~")
+    if not sep or not left.strip() or not right.strip():
+        raise ValueError(f"not a formula: {formula!r}")
+    intercept = True
+    if re.search(r"-\s*1\s*$", right):
+        right, intercept = re.sub(r"-\s*1\s*$", "", right), False
+
+    def columns(part: str) -> dict[str, Column]:
+        m = re.fullmatch(r"factor\((.+)\)", part)
+        if not m:
+            return {part: F.expr(part).cast("double")}
+        e = F.expr(m[1])
+        rows = df.select(e.alias("v")).where("v IS NOT NULL").distinct().orderBy("v").limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"{part} has more than {max_levels} levels")
+        return {f"{m[1]}={r.v}": F.when(e.isNotNull(), (e == F.lit(r.v)).cast("double")) for r in rows[1:]}
+
+    out: dict[str, Column] = {}
+    # Plus signs and colons inside brackets belong to expressions.
+    for term in (t.strip() for t in re.split(r"\+(?![^()]*\))", right)):
+        if not term:
+            raise ValueError(f"empty term in {formula!r}")
+        parts = [columns(p.strip()) for p in re.split(r":(?![^()]*\))", term)]
+        cells = parts[0]
+        for more in parts[1:]:
+            cells = {f"{a}:{b}": x * z for a, x in cells.items() for b, z in more.items()}
+        out.update(cells)
+    return left.strip(), out, intercept
+
+
+def regress(df: DataFrame, formula: str, *, keys: Sequence[str] = ("id",), ridge: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Least squares by formula: (``df`` with ``fitted`` and ``residual``, long table ``keys, term, estimate, n, r2, status``).
+
+    Every row comes back; where the outcome or a term is unknown, so are ``fitted`` or ``residual``.  Without an intercept the
+    regressors and the outcome are mirrored, which centres them.
+    """
+    outcome, cols, intercept = terms_of(df, formula)
+    names = {c: f"_x{i}" for i, c in enumerate(cols)}
+    d = df.withColumns({"_y": F.expr(outcome).cast("double"), **{n: cols[c] for c, n in names.items()}})
+    xs = list(names.values())
+    d = cut_lineage(d)
+    learn = d.select(*keys, "_y", *xs)
+    if not intercept:
+        learn = learn.unionByName(learn.select(*keys, *[(-F.col(c)).alias(c) for c in ("_y", *xs)]))
+    model = cut_lineage(fit(learn, "_y", xs, keys=keys, ridge=ridge))
+    m = model.select(*keys, F.col("coef").alias("_coef"), F.col("intercept").alias("_b0"))
+    rows = d.join(m, list(keys), "left").withColumn("fitted", value_of("_coef", "_b0", xs)).withColumn("residual", F.col("_y") - F.col("fitted"))
+    label = F.array(*([F.struct(F.lit("(intercept)").alias("term"), F.col("intercept").alias("estimate"))] if intercept else []),
+                    *[F.struct(F.lit(c).alias("term"), F.col("coef")[i].alias("estimate")) for i, c in enumerate(cols)])
+    n = F.col("n") if intercept else (F.col("n") / 2).cast("bigint")
+    return rows.drop("_y", "_coef", "_b0", *xs), model.select(*keys, n.alias("n"), "r2", "status", F.inline(label)).select(*keys, "term", "estimate", "n", "r2", "status")

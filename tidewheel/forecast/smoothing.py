@@ -38,11 +38,12 @@ def auto_grid(period: int = 7) -> list[Params]:
     return out + (winters_grid(period=period) if period > 1 else [])
 
 
-def _run(y, phase, m, par):
-    """Advance the affine state ``m`` (params, states, start-state coefficients + constant)."""
+def _run(y, phase, m, par, counts=None):
+    """Advance the affine state ``m`` (params, states, start-state coefficients + constant); errors of cells that do not
+    count stay out of the sum."""
     a, b, g, phi = (par[:, [i]] for i in range(4))
     q = np.zeros((m.shape[0], m.shape[2], m.shape[2]))
-    for yt, ph in zip(y, phase):
+    for yt, ph, count in zip(y, phase, np.ones(len(y), bool) if counts is None else counts):
         trend = phi * m[:, 1]
         base, s = m[:, 0] + trend, m[:, 2 + ph].copy()
         if np.isnan(yt):
@@ -50,7 +51,8 @@ def _run(y, phase, m, par):
             continue
         e = -(base + s)
         e[:, -1] += yt
-        q += e[:, :, None] * e[:, None, :]
+        if count:
+            q += e[:, :, None] * e[:, None, :]
         m[:, 0], m[:, 1], m[:, 2 + ph] = base + a * e, trend + b * e, s + g * e
     return m, q
 
@@ -85,11 +87,18 @@ def _start(y, phase, period, par):
 
 
 def fit(train: DataFrame, y: str = "y", period: int = 1, grid: Sequence[Params] | None = None, *,
-        keys: Sequence[str] = ("id",), size: int = CHUNK) -> DataFrame:
-    """All parameter sets for all series: ``keys, p, n, sse, state, last_k``."""
+        keys: Sequence[str] = ("id",), size: int = CHUNK, skip: int = 0) -> DataFrame:
+    """All parameter sets for all series: ``keys, p, n, sse, state, last_k``.
+
+    ``n`` and ``sse`` leave out the first ``skip`` cells of a series, which only move the state (unless nothing is known after them).
+    """
     par = np.array([g[:4] for g in (grid or auto_grid(period))], dtype=float)
     d = train.select(*keys, "k", F.col(y).cast("double").alias("_y"))
     b = d.groupBy(*keys).agg(F.min("k").alias("_k0"), F.max("k").alias("last_k"), F.count("_y").alias("n"))
+    if skip:
+        counted = join_params(d, b, keys).where(F.col("k") >= F.col("_k0") + skip).groupBy(*keys).agg(F.count("_y").alias("_counted"))
+        b = b.join(counted, list(keys), "left").withColumn("_from", F.col("_k0") + F.when(F.col("_counted") > 0, skip).otherwise(0)).withColumn(
+            "n", F.when(F.col("_counted") > 0, F.col("_counted")).otherwise(F.col("n"))).drop("_counted")
     head = join_params(d, b, keys).where(F.col("k") < F.col("_k0") + 2 * period)
     starts = head.groupBy(*keys, "_k0").agg(F.array_sort(F.collect_list(F.struct("k", "_y"))).alias("_h")).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], chunk_of("_k0", size).alias("_s_chunk"), F.transform("_h", lambda s: s["k"]).alias("_hk"),
@@ -105,11 +114,13 @@ def fit(train: DataFrame, y: str = "y", period: int = 1, grid: Sequence[Params]
             m = _start(np.asarray(right["_hy"].iloc[0], dtype=float), np.asarray(right["_hk"].iloc[0]) % period, period, par)
         else:
             m = np.broadcast_to(np.eye(2 + period, 3 + period), (len(par), 2 + period, 3 + period)).copy()
-        m, q = _run(yv, phase, m, par)
+        m, q = _run(yv, phase, m, par, left["_counts"].to_numpy() if skip else None)
         return pd.DataFrame([(*key, i, m[i].ravel(), q[i].ravel()) for i in range(len(par))],
                             columns=[*names, "_chunk", "p", "m", "q"])
 
     left = d.withColumn("_chunk", chunk_of("k", size))
+    if skip:
+        left = join_params(left, b.select(*keys, "_from"), keys).withColumn("_counts", F.col("k") >= F.col("_from")).drop("_from")
     pieces = left.groupBy(*keys, "_chunk").cogroup(
         starts.groupBy(*[f"_s_{k}" for k in keys], "_s_chunk")).applyInPandas(
         piece, f"{fields}, _chunk bigint, p int, m array<double>, q array<double>")

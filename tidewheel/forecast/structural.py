@@ -27,8 +27,9 @@ def with_regressors(train: DataFrame, future: DataFrame, xs: Sequence[str], base
                     ridge: Sequence[float] | float = 1e-6, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Regress on ``xs`` (present in both frames), forecast the residual with ``base``, add up."""
     model = cut_lineage(L.fit(train, y, xs, keys=keys, ridge=ridge))
-    res = L.predict(train, model, xs, keys=keys, out="_p").select(
-        *keys, "k", "ts", (F.col(y) - F.col("_p")).alias("y")).where(F.col("y").isNotNull())
+    # An unknown residual stays as a NULL cell: later lags go by position.
+    res = train.join(model.select(*keys, F.col("coef").alias("_coef"), F.col("intercept").alias("_b0")), list(keys), "left")
+    res = res.select(*keys, "k", "ts", (F.col(y) - L.value_of("_coef", "_b0", xs)).alias("y"))
     rest = base(cut_lineage(res), future)
     lin = L.predict(future, model, xs, keys=keys, out="_p").select(*keys, "k", "_p")
     # Rows are matched by stamp, not by position: a regressor may be unknown, then the prediction is NULL.
@@ -36,19 +37,23 @@ def with_regressors(train: DataFrame, future: DataFrame, xs: Sequence[str], base
             .select(*keys, "k", "ts", (F.col("prediction") + F.col("_p")).alias("prediction")))
 
 
-def smoothing_or_arima(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y",
-                       orders: Sequence[A.Order] = A.AUTO, horizon: int | None = None, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Per series the better of automatic smoothing and automatic ARIMA by AICc per observation.
+def smoothing_or_arima(train: DataFrame, future: DataFrame, period: int = 7, y: str = "y", orders: Sequence[A.Order] | None = None,
+                       horizon: int | None = None, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Per series the better of automatic smoothing and automatic ARIMA (or the given ``orders``).
 
-    Where only one of them has a model, it is taken; without either, the stamps stay with a NULL prediction.
+    Both are scored by AICc on the same cells: those after the longest burn-in that any order needs.  (With gaps ARIMA lacks
+    some more; scores are per observation.)  Where only one of them has a model, it is taken; without either, the stamps stay with
+    a NULL prediction.
     """
     grid = S.auto_grid(period)
-    ets = cut_lineage(S.best(S.fit(train, y, period, grid, keys=keys), grid, keys))
-    ari = cut_lineage(A.search(train, future, orders, period, y, keys, horizon))
-    pick = ets.select(*keys, (F.col("score") / F.col("n")).alias("_s")).join(
-        ari.select(*keys, F.col("score").alias("_a")), list(keys), "full")
+    every = orders or [o for d in range(3) for D in range(2) for o in A.candidates(d, D, seasonal=period > 1)]
+    skip = A.burn_in(every, period)
+    ets = cut_lineage(S.best(S.fit(train, y, period, grid, keys=keys, skip=skip), grid, keys))
+    ari = A.auto_search(train, future, period, y, keys, horizon, skip) if orders is None else A.search(train, future, orders, period, y, keys, horizon, skip)
+    ari = cut_lineage(ari)
+    pick = ets.select(*keys, (F.col("score") / F.col("n")).alias("_s")).join(ari.select(*keys, F.col("score").alias("_a")), list(keys), "full")
     by_ets = pick.where("_s IS NOT NULL AND (_a IS NULL OR _s <= _a)").select(*keys)
-    one = S.project(ets, future, period, keys).join(by_ets, list(keys), "left_semi")  # the others come from the second
+    one = S.project(ets, future, period, keys).join(by_ets, list(keys), "left_semi")
     two = A.along(ari, future, keys).join(by_ets, list(keys), "left_anti")
     return one.unionByName(two)
 
@@ -98,18 +103,21 @@ def additive(train: DataFrame, future: DataFrame, *, n_change: int = 25, change_
 
 
 def stl_forecast(train: DataFrame, future: DataFrame, base: Base, periods: Sequence[int] = (7,), y: str = "y",
-                 keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Take out one season per period, forecast the rest with ``base``, add the last cycles back."""
-    d = train.select(*keys, "k", "ts", F.col(y).cast("double").alias("y"))
+                 keys: Sequence[str] = ("id",), xs: Sequence[str] = ()) -> DataFrame:
+    """Take out the seasons of all ``periods`` (found together), forecast the rest with ``base``, add the last cycles back.
+
+    ``base`` is any forecaster of a column ``y``: automatic smoothing, automatic ARIMA ...; with ``xs`` (in both frames) the rest
+    is first regressed on them.
+    """
+    dec = cut_lineage(DC.multi_stl(train.select(*keys, "k", "ts", F.col(y).cast("double").alias("y"), *xs), "y", periods, keys=keys))
     season = None
-    for p in periods:
-        dec = cut_lineage(DC.stl(d, "y", p, keys=keys).select(*keys, "k", "ts", "season", "seasadj"))
-        s = seasonal_naive(dec, future, p, "season", keys).select(*keys, "k", F.col("prediction").alias("_s"))
+    for p in sorted(set(periods)):
+        s = seasonal_naive(dec, future, p, f"season_{p}", keys).select(*keys, "k", "prediction")
         season = s if season is None else season.unionByName(s)
-        d = dec.select(*keys, "k", "ts", F.col("seasadj").alias("y"))
-    total = season.groupBy(*keys, "k").agg(F.sum("_s").alias("_s"))
-    return base(d, future).join(total, [*keys, "k"], "left").select(
-        *keys, "k", "ts", (F.col("prediction") + F.col("_s")).alias("prediction"))
+    total = season.groupBy(*keys, "k").agg(F.sum("prediction").alias("_s"), F.count("prediction").alias("_n")).where(F.col("_n") == len(set(periods)))
+    rest = dec.select(*keys, "k", "ts", F.col("seasadj").alias("y"), *xs)
+    fc = with_regressors(rest, future, xs, base, keys=keys) if xs else base(rest, future)
+    return fc.join(total, [*keys, "k"], "left").select(*keys, "k", "ts", (F.col("prediction") + F.col("_s")).alias("prediction"))
 
 
 def hierarchy_weights(period: int) -> tuple[list[int], np.ndarray]:

@@ -112,15 +112,16 @@ def _scan(keep: float, add: np.ndarray, start: float, block: int = 64) -> np.nda
     return (local + starts[:, None] * keep ** (i + 1.0)).ravel()[:len(add)]
 
 
-def _training(df: DataFrame) -> DataFrame:
-    """``id, _nt, _mean, _var``: length, mean and variance of each id's training prefix."""
-    b = df.groupBy("id").agg(F.min("k").alias("_k0"), training_length(F.count("y")).alias("_nt"))
+def _training(df: DataFrame, n_train: int | None = None) -> DataFrame:
+    """``id, _nt, _mean, _var``: length, mean and variance of each id's training prefix (by share, or the first ``n_train`` cells)."""
+    length = training_length(F.count("y")) if n_train is None else F.lit(n_train).cast("bigint")
+    b = df.groupBy("id").agg(F.min("k").alias("_k0"), length.alias("_nt"))
     known = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), b, ["id"])
     first = known.where(F.col("k") - F.col("_k0") < F.col("_nt")).groupBy("id").agg(F.avg("y").alias("_mean"), F.var_pop("y").alias("_var"))
     return b.join(first, "id", "left").select("id", "_nt", F.coalesce("_mean", F.lit(0.0)).alias("_mean"), F.coalesce("_var", F.lit(0.0)).alias("_var"))
 
 
-def sd_ewma_charts(df: DataFrame, *, lam: float = 0.2, theta: float = 0.05, limit: float = 3.0, m: int = 5, size: int = CHUNK) -> DataFrame:
+def sd_ewma_charts(df: DataFrame, n_train: int | None = None, *, lam: float = 0.2, theta: float = 0.05, limit: float = 3.0, m: int = 5, size: int = CHUNK) -> DataFrame:
     """``id, k, sd_ewma, two_stage`` (0/1) for every known row; a key of any length is many tasks' work.
 
     The mean z moves by an affine map along a chunk of rows, and the error variance by a map that is affine in itself and quadratic in
@@ -152,7 +153,7 @@ def sd_ewma_charts(df: DataFrame, *, lam: float = 0.2, theta: float = 0.05, limi
             n, tail = n + rows, [*tail, *ends][-m:]
         return pd.DataFrame(out, columns=["id", "_chunk", "n", "z", "v", "tail", "nt"])
 
-    entry = join_params(maps, _training(df), ["id"]).groupBy("id").applyInPandas(
+    entry = join_params(maps, _training(df, n_train), ["id"]).groupBy("id").applyInPandas(
         chain, f"id {key}, _chunk bigint, n bigint, z double, v double, tail array<double>, nt bigint")
 
     def replay(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
@@ -173,13 +174,13 @@ def sd_ewma_charts(df: DataFrame, *, lam: float = 0.2, theta: float = 0.05, limi
     return d.groupBy("id", "_chunk").cogroup(cut_lineage(entry).groupBy("id", "_chunk")).applyInPandas(replay, f"id {key}, k bigint, sd_ewma int, two_stage int")
 
 
-def pewma_chart(df: DataFrame) -> DataFrame:
+def pewma_chart(df: DataFrame, n_train: int | None = None) -> DataFrame:
     """``id, k, pewma`` (0/1) for every known row.
 
     The weight of a value depends on its own likelihood, so this recursion alone is sequential.  Rows stream through sorted by
     (id, k) in Arrow batches and only a handful of numbers per key is carried, so no series is ever held in memory.
     """
-    d = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), _training(df), ["id"])
+    d = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), _training(df, n_train), ["id"])
     d = d.repartition("id").sortWithinPartitions("id", "k")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,49 +196,49 @@ def pewma_chart(df: DataFrame) -> DataFrame:
     return d.mapInPandas(run, f"id {df.schema['id'].dataType.simpleString()}, k bigint, pewma int")
 
 
-def ewma_charts(df: DataFrame) -> DataFrame:
-    """``id, k, pewma, sd_ewma, two_stage`` (0/1) for every known row."""
-    return pewma_chart(df).join(sd_ewma_charts(df), ["id", "k"])
+def ewma_charts(df: DataFrame, n_train: int | None = None) -> DataFrame:
+    """``id, k, pewma, sd_ewma, two_stage`` (0/1) for every known row; trained on a share of the series or its first ``n_train`` cells."""
+    return pewma_chart(df, n_train).join(sd_ewma_charts(df, n_train), ["id", "k"])
 
 
 def knn_conformal(df: DataFrame, threshold: float = 0.95, dim: int = 5, train: int = 750, share: float = 0.1,
                   size: int = 4096) -> DataFrame:
-    """Conformal kNN on lag vectors: each point against the ``train`` vectors before it.
+    """Conformal kNN on lag vectors: each point against the vectors of the training length before it.
 
-    Chunks with a halo of the reference window, numpy distances in blocks; work is n * train.
+    A point's score is the mean distance to its k nearest earlier vectors (k a ``share`` of the id's known values, at most what there
+    is); it is flagged if at least ``threshold`` of the scores before it are lower.  The distances to all vectors d cells
+    back are one moving sum along a diagonal, and the rank of a score is counted diagonal by diagonal as well, so the work is a few
+    array operations per diagonal.  A NULL is no value: vectors that hold one have neither distance nor score.  Chunks with a halo of the
+    reference window, so an id of any length is many tasks' work.
     """
-    b = df.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min("k").alias("_k0"))
-    d = join_params(df.select("id", "k", F.coalesce(F.col("y").cast("double"), F.lit(0.0)).alias("y")), b, ["id"])
+    b = df.groupBy("id").agg(F.count("y").alias("_n"), F.min("k").alias("_k0"))
+    d = join_params(df.where("y IS NOT NULL").select("id", "k", F.col("y").cast("double").alias("y")), b, ["id"])
     h = with_halo(d, 2 * train + dim, size=size)
-    kd = F.least(F.greatest(F.floor(F.col("_n") * share), F.lit(1)), F.lit(train))
-    h = h.withColumn("_kk", kd).withColumn("_nt", training_length(F.col("_n"), most=train))
+    h = h.withColumn("_kk", F.greatest(F.floor(F.col("_n") * share), F.lit(1))).withColumn("_nt", F.greatest(training_length(F.col("_n"), most=train), F.lit(2)))
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        x, own, k = pdf["y"].to_numpy(), pdf["_own"].to_numpy(), pdf["k"].to_numpy()
-        kk, nt, k0 = int(pdf["_kk"].iloc[0]), max(int(pdf["_nt"].iloc[0]), 2), pdf["_k0"].iloc[0]
-        n = len(x)
-        if n <= dim:
-            return pd.DataFrame({"id": pdf["id"][:0], "k": k[:0]})
-        v = np.lib.stride_tricks.sliding_window_view(x, dim)
-        s = np.full(n, np.nan)
-        for a in range(0, len(v), 512):
-            z = min(a + 512, len(v))
-            lo = max(0, a - nt)
-            dist = np.sqrt(np.maximum((v[a:z] ** 2).sum(1)[:, None] + (v[lo:z] ** 2).sum(1)[None] - 2 * v[a:z] @ v[lo:z].T, 0))
-            i, j = np.arange(a, z)[:, None], np.arange(lo, z)[None]
-            dist[(j >= i) | (j < i - nt)] = np.inf
-            near = np.sort(dist, axis=1)[:, :min(kk, dist.shape[1])]
-            good = np.isfinite(near)
-            cnt = good.sum(1)
-            s[a + dim - 1:z + dim - 1] = np.where(cnt > 0, np.where(good, near, 0).sum(1) / np.maximum(cnt, 1), np.nan)
-        flag = np.zeros(n, dtype=bool)
-        for i in np.nonzero(own)[0]:
-            past = s[max(0, i - nt):i]
-            past = past[np.isfinite(past)]
-            if k[i] - k0 >= nt + dim and np.isfinite(s[i]) and len(past):
-                flag[i] = (past < s[i]).mean() >= threshold
-        return pd.DataFrame({"id": pdf["id"].to_numpy()[flag], "k": k[flag]})
+        at = pdf["k"].to_numpy()
+        first, kk, nt, k0 = int(at.min()), int(pdf["_kk"].iloc[0]), int(pdf["_nt"].iloc[0]), int(pdf["_k0"].iloc[0])
+        n = int(at.max()) - first + 1
+        x, own = np.full(n, np.nan), np.zeros(n, bool)
+        x[at - first], own[at - first] = pdf["y"].to_numpy(), pdf["_own"].to_numpy()
+        dist = np.full((min(nt, max(n - dim, 0)), n), np.inf)
+        for d in range(1, len(dist) + 1):
+            dist[d - 1, d + dim - 1:] = np.convolve((x[d:] - x[:-d]) ** 2, np.ones(dim), "valid")
+        if not len(dist):
+            return pd.DataFrame({"id": pdf["id"][:0], "k": at[:0]})
+        dist = np.sqrt(np.where(np.isnan(dist), np.inf, np.maximum(dist, 0)))
+        if kk < len(dist):
+            dist = np.partition(dist, kk - 1, axis=0)[:kk]
+        good = np.isfinite(dist)
+        near = good.sum(0)
+        s = np.where(near > 0, np.where(good, dist, 0).sum(0) / np.maximum(near, 1), np.nan)
+        lower, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for d in range(1, min(nt, n - 1) + 1):
+            lower[d:] += s[:-d] < s[d:]
+            seen[d:] += np.isfinite(s[:-d])
+        flag = own & (np.arange(n) + first - k0 >= nt + dim) & np.isfinite(s) & (seen > 0) & (lower >= threshold * seen)
+        return pd.DataFrame({"id": [pdf["id"].iloc[0]] * int(flag.sum()), "k": np.flatnonzero(flag) + first})
 
     return h.groupBy("id", "_chunk").applyInPandas(score, f"id {df.schema['id'].dataType.simpleString()}, k bigint")
 

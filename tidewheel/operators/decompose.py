@@ -43,6 +43,33 @@ def stl(df: DataFrame, y: str = "y", period: int = 7, *, keys: Sequence[str] = (
              .withColumn("seasadj", F.col(y) - F.col("season")).drop("_phase", "_sa"))
 
 
+def multi_stl(df: DataFrame, y: str = "y", periods: Sequence[int] = (7, 30, 182), *, keys: Sequence[str] = ("id",),
+              passes: int = 2) -> DataFrame:
+    """Add ``season_<p>`` for every period, ``trend, remainder, seasadj``: seasons found together by backfitting.
+
+    Each pass goes through the periods from the shortest on and takes a period's season from the series without the other
+    seasons as they stand; trend and remainder come from the last fit, so all components add up to the series.  Periods that a series does not
+    cover twice get a season of zeros for it.  Rows should be one per grid cell.
+    """
+    keys, periods = list(keys), sorted(set(periods))
+    names = [f"season_{p}" for p in periods]
+    span = df.groupBy(*keys).agg((F.max("k") - F.min("k") + 1).alias("_span"))
+    d = join_params(df.withColumns({n: F.lit(0.0) for n in names}), span, keys)
+    turns = [(p, n) for _ in range(passes) for p, n in zip(periods, names)]
+    for turn, (p, n) in enumerate(turns, 1):
+        rest = F.col(y).cast("double")
+        for other in names:
+            rest = rest - F.col(other) if other != n else rest
+        d = stl(d.withColumn("_rest", rest), "_rest", p, keys=keys)
+        covered = F.col("_span") >= 2 * p
+        d = d.withColumns({n: F.when(covered, F.col("season")).otherwise(0.0), "remainder": F.col("remainder") + F.when(covered, 0.0).otherwise(F.col("season"))})
+        d = cut_lineage(d.drop("season", "seasadj", "_rest", *(["trend", "remainder"] if turn < len(turns) else [])))
+    adjusted = F.col(y).cast("double")
+    for n in names:
+        adjusted = adjusted - F.col(n)
+    return d.withColumn("seasadj", adjusted).drop("_span")
+
+
 def _between(prev: Column, nxt: Column) -> Column:
     """Value at ``k`` on the line between two known points; the nearest one at the ends."""
     t = (F.col("k") - prev["k"]) / (nxt["k"] - prev["k"])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tidewheel.core import exact_quantiles, halo_select, join_params, step_index, step_start
+from tidewheel.core import at_lag, exact_quantiles, halo_select, join_params, step_index, step_start
 from tidewheel.operators.features import signature
 
 
@@ -34,7 +34,7 @@ def _cross(df, y, others, lags, keys):
     d = join_params(df.select(*keys, "k", *names), m, keys)
     d = d.select(*keys, "k", *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in names])
     hi, lo = max(max(lags), 0), max(-min(lags), 0)
-    d = halo_select(d, lambda w: {f"_{i}_{j}": F.lag(x, l).over(w) if l else F.col(x)
+    d = halo_select(d, lambda w: {f"_{i}_{j}": at_lag(x, l, w)
                                   for i, x in enumerate(others) for j, l in enumerate(lags)},
                     hi, lo, keys=keys)
     sums = [F.sum(F.col(y) * F.col(f"_{i}_{j}")).alias(f"_s{i}_{j}")

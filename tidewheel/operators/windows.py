@@ -1,4 +1,7 @@
-"""Lags, differences, rolling functions and local regression over chunk windows."""
+"""Lags, differences, rolling functions and local regression over chunk windows.
+
+Everything looks along the positions, not the rows: a missing cell is a NULL for lags and an absent value for windows.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.core import CHUNK, halo_select
+from tidewheel.core import CHUNK, at_lag, halo_select
 
 
 @dataclass(frozen=True)
@@ -23,14 +26,14 @@ class Feature:
 
 def lag(y: str, k: int) -> Feature:
     """Value ``k`` cells back; a negative ``k`` looks ahead."""
-    return Feature(max(k, 0), max(-k, 0), lambda w: F.lag(y, k).over(w))
+    return Feature(max(k, 0), max(-k, 0), lambda w: at_lag(y, k, w))
 
 
 def diff(y: str, k: int = 1, order: int = 1) -> Feature:
     def build(w):
         out = F.col(y)
         for i in range(1, order + 1):
-            out = out + float((-1) ** i * comb(order, i)) * F.lag(y, i * k).over(w)
+            out = out + float((-1) ** i * comb(order, i)) * at_lag(y, i * k, w)
         return out
     return Feature(k * order, 0, build)
 
@@ -51,11 +54,11 @@ def rolling_median(c: Column) -> Column:
 
 def slide(y: str, period: int, fn: Callable[[Column], Column] = F.avg, align: str = "right",
           partial: bool = False) -> Feature:
-    """Rolling ``fn``; ``partial=False`` gives NULL where the window is cut."""
+    """Rolling ``fn`` over ``period`` cells; ``partial=False`` gives NULL where the window is cut or has a gap."""
     b, a = reach(period, align)
 
     def build(w):
-        frame = w.rowsBetween(-b, a)
+        frame = w.rangeBetween(-b, a)
         value = fn(F.col(y)).over(frame)
         return value if partial else F.when(F.count(F.lit(1)).over(frame) == period, value)
     return Feature(b, a, build)
@@ -68,7 +71,7 @@ def weighted_tail(y: str, weights: Sequence[float]) -> Feature:
     def build(w):
         out = F.col(y) * weights[-1]
         for i in range(1, n):
-            out = out + F.lag(y, i).over(w) * weights[n - 1 - i]
+            out = out + at_lag(y, i, w) * weights[n - 1 - i]
         return out
     return Feature(n - 1, 0, build)
 
@@ -83,7 +86,7 @@ def loess(y: str, period: int, degree: int = 1) -> Feature:
     def build(w):
         near = F.collect_list(F.when(F.col(y).isNotNull(), F.struct(
             F.col("k").cast("double").alias("k"), F.col(y).cast("double").alias("y")))
-        ).over(w.rowsBetween(-half, half))
+        ).over(w.rangeBetween(-half, half))
         zero = F.struct(*[F.lit(0.0).alias(n) for n in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2")])
         k = F.col("k").cast("double")
 

@@ -12,7 +12,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.core import exact_quantiles, halo_select, join_params
+from tidewheel.core import at_lag, exact_quantiles, halo_select, join_params
 from tidewheel.operators.verbs import slice_ranked
 from tidewheel.session import cut_lineage
 
@@ -41,7 +41,7 @@ def accuracy(cal: DataFrame, by: Sequence[str] = ("model_id", "id"), *,
     MASE scales by the mean absolute step of the evaluated actuals; a zero actual is left out of
     MAPE and counted in ``n_zero``.
     """
-    d = halo_select(cal, lambda w: {"_step": F.abs(F.col("actual") - F.lag("actual").over(w))}, 1, keys=series)
+    d = halo_select(cal, lambda w: {"_step": F.abs(F.col("actual") - at_lag("actual", 1, w))}, 1, keys=series)
     e, a, p = F.abs("residual"), F.col("actual"), F.col("prediction")
     g = d.groupBy(*by).agg(
         F.count(e).alias("n"), F.avg(e).alias("mae"), (100 * F.avg(F.when(a != 0, e / F.abs(a)))).alias("mape"),
@@ -59,7 +59,7 @@ def accuracy(cal: DataFrame, by: Sequence[str] = ("model_id", "id"), *,
 def rmsse(cal: DataFrame, train: DataFrame, y: str = "y") -> DataFrame:
     """Per (model, id): RMSE over the root mean squared one-step change of the training rows."""
     t = halo_select(train.select("id", "k", F.col(y).alias("_y")),
-                    lambda w: {"_d": F.col("_y") - F.lag("_y").over(w)}, 1)
+                    lambda w: {"_d": F.col("_y") - at_lag("_y", 1, w)}, 1)
     q = t.groupBy("id").agg(F.avg(F.col("_d") * F.col("_d")).alias("_q"))
     m = cal.groupBy("model_id", "id").agg(F.avg(F.col("residual") * F.col("residual")).alias("_m"))
     return m.join(q, "id").select("model_id", "id", F.sqrt(F.col("_m") / F.nullif(F.col("_q"), F.lit(0.0))).alias("rmsse"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewheel.plans import evaluate as E
+from tidewheel.session import cut_lineage
 
 # A forecaster maps (training panel, future frame with regressors) to id, k, ts, prediction.
 Forecaster = Callable[[DataFrame, DataFrame], DataFrame]
@@ -50,8 +51,9 @@ class ModelTable:
 
 
 def calibrate_evaluate(models: ModelTable, split: DataFrame, y: str = "y", by_id: bool = True):
-    """(calibration, accuracy, forecast table) of every model on the test segment."""
+    """(calibration, accuracy, forecast table) of every model on the test segment; the split panel is written once for all of them."""
     from tidewheel.plans.resample import testing, training
+    split = cut_lineage(split)
     train, test = training(split), testing(split)
     fc = models.forecast(train, test)
     cal = E.calibrate(fc, test, y)
@@ -60,5 +62,5 @@ def calibrate_evaluate(models: ModelTable, split: DataFrame, y: str = "y", by_id
 
 
 def refit(models: ModelTable, data: DataFrame, future: DataFrame) -> DataFrame:
-    """Fit on all rows, forecast the future frame."""
-    return models.forecast(data, future)
+    """Fit on all rows, forecast the future frame; both are written once for all models."""
+    return models.forecast(cut_lineage(data), cut_lineage(future))

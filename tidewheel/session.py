@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -36,27 +35,35 @@ def get_spark(app: str = "tidewheel", master: str | None = None, **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder ``spark.checkpoint.dir``; a local session without one gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="tidewheel-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The cluster's shared folder ``spark.checkpoint.dir``; where it is unset (tests), the session's warehouse, which is shared as well."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+
+_MADE: list[str] = []
 
 
 def new_folder(spark: SparkSession) -> str:
     """Unused path inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tidewheel-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/tidewheel-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``new_folder`` has named in this process; nothing may still read them.  Their number."""
+    n = len(_MADE)
+    while _MADE:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return n
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: later stages survive lost executors and plan from a leaf."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """``df`` as a Parquet table in the shared folder: later stages survive lost executors, read only the columns they need and
+    know the size of what they join."""
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], workers: int = WORKERS) -> list:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewheel.operators.anomaly import Ewma
 
@@ -34,26 +35,80 @@ def enrich(events: DataFrame, calendar: DataFrame, on: Sequence[str], cols: Sequ
         {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
 
 
-def online_flags(events: DataFrame, n_train: int = 50, y: str = "y") -> DataFrame:
-    """EWMA control charts with a few numbers of state per key.
-
-    A key's rows of one micro-batch (bounded by the source's per-trigger limit) are put in time order
-    before the state sees them; the first value seeds it.
+class _OrderedCharts(StatefulProcessor):
+    """Rows wait in time buckets until the watermark has passed them; then a key's chart sees them in time order."""
+
+    def __init__(self, n_train: int, bucket_ms: int):
+        self.n_train, self.bucket_ms = n_train, bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket bigint", "us array<bigint>, y array<double>")
+        # Training values until there are enough of them, then the chart's few numbers.
+        self.chart = handle.getValueState("chart", "head array<double>, s array<double>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            for b, part in pdf.groupby(pdf["us"] // (1000 * self.bucket_ms)):
+                end = (int(b) + 1) * self.bucket_ms
+                if end <= passed:  # later than promised
+                    continue
+                us, y = self.waiting.getValue((int(b),)) if self.waiting.containsKey((int(b),)) else ([], [])
+                self.waiting.updateValue((int(b),), ([*us, *part["us"].tolist()], [*y, *part["y"].tolist()]))
+                self.handle.registerTimer(end)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        for b in sorted(b for (b,) in self.waiting.keys() if (b + 1) * self.bucket_ms <= passed):
+            us, y = (np.array(v) for v in self.waiting.getValue((b,)))
+            order = np.lexsort((y, us))
+            flags = self._advance(y[order].tolist())
+            self.waiting.removeKey((b,))
+            out = pd.DataFrame(flags, columns=["pewma", "sd_ewma", "two_stage"]).astype("int32")
+            out.insert(0, "us", us[order])
+            out.insert(0, "id", key[0])
+            yield out
+
+    def _advance(self, values: list[float]) -> list[tuple[int, int, int]]:
+        head, state = self.chart.get() if self.chart.exists() else ([], None)
+        head, flags = list(head), []
+        chart = None if state is None else Ewma(0.0, 1.0, self.n_train, state)
+        for v in values:
+            if chart is not None:
+                flags.append(chart.update(v))
+                continue
+            head.append(v)
+            flags.append((0, 0, 0))
+            if len(head) >= self.n_train:
+                chart = Ewma(float(np.mean(head)), float(np.var(head)), self.n_train)
+                for x in head:
+                    chart.update(x)
+                head = []
+        self.chart.update((head, None if chart is None else [float(x) for x in chart.s]))
+        return flags
+
+    def close(self) -> None:
+        pass
+
+
+def online_flags(events: DataFrame, n_train: int = 50, y: str = "y", late: str = "10 minutes", bucket: int = 60) -> DataFrame:
+    """``id, ts, pewma, sd_ewma, two_stage``: the control charts of ``anomaly.ewma_charts(..., n_train=n_train)`` on a stream.
+
+    Rows are put in time order (ties by value) across micro-batches: a row waits until the watermark, ``late`` behind the newest stamp, has passed
+    its ``bucket`` of seconds, and rows later than that are dropped.  So flags do not depend on how rows are dealt to batches.  State per
+    key: the rows of the open buckets, one bucket at a time in memory, and a few numbers.  Rows without a value are left out.  Timers need
+    the RocksDB state store, which is set for the session's streams here.
     """
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["ts", y])
-        saved = list(state.get[0]) if state.exists else None
-        chart = Ewma(float(rows[y].iloc[0]), 1.0, n_train, saved)
-        flags = [chart.update(float(v)) for v in rows[y]]
-        state.update((chart.s,))
-        out = pd.DataFrame(flags, columns=["pewma", "sd_ewma", "two_stage"]).astype("int32")
-        out.insert(0, "ts", rows["ts"].to_numpy())
-        out.insert(0, "id", key[0])
-        yield out
-
-    return events.select("id", "ts", F.col(y).cast("double").alias(y)).groupBy("id").applyInPandasWithState(
-        step, "id string, ts timestamp_ntz, pewma int, sd_ewma int, two_stage int", "s array<double>", "append",
-        GroupStateTimeout.NoTimeout)
+    if n_train < 1:
+        raise ValueError("n_train must be 1 at least")
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    d = events.where(F.col(y).isNotNull()).select("id", F.col("ts").cast("timestamp").alias("at"), F.col(y).cast("double").alias("y"))
+    d = d.withWatermark("at", late).withColumn("us", F.unix_micros("at"))
+    key = events.schema["id"].dataType.simpleString()
+    out = d.groupBy("id").transformWithStateInPandas(_OrderedCharts(n_train, 1000 * bucket), f"id {key}, us bigint, pewma int, sd_ewma int, two_stage int", "append", "eventTime")
+    return out.select("id", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "pewma", "sd_ewma", "two_stage")
 
 
 def score_stream(events: DataFrame, model: PipelineModel, prepare: Callable[[DataFrame], DataFrame], sink: str,
