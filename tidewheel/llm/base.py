@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +22,39 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors, pruned on reread."""
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside, but for those to ``keep``, are deleted at the end: nothing lazy may still read them then."""
+    made: list[str] = []
+    token = _SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Rows of one file of a table whose size is known beforehand.
+FILE_ROWS = 1 << 13
+
+
+def written(df: DataFrame, keep: bool = False, rows: int | None = None, per: int = FILE_ROWS) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors, pruned on reread.
+
+    Where the caller knows that about ``rows`` rows come, the last stage takes as many tasks as they need at ``per`` rows each (and no
+    more than it would), so that a small table is not hundreds of files.
+    """
+    if rows is not None:
+        df = df.coalesce(max(2, -(-rows // per)))
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tidewheel-llm-{uuid.uuid4().hex}"
+    made = _SCRATCH.get()
+    if made is not None and not keep:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

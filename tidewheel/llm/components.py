@@ -15,15 +15,19 @@ from tidewheel.llm.base import written
 BLOCK = 512
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """``node, root`` (smallest node reachable) of the long pairs ``a, b``; nodes without an edge to another are left out.
+    ``rows`` is the caller's bound on the number of pairs, if it has one.
 
     Large star and small star in turn: every node links its larger neighbours, then its smaller ones, to the least of
     its neighbourhood, until nothing changes.  A neighbourhood is only ever aggregated to its minimum, so a hub does
     not gather in one task; each round is a written table.
     """
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    last = None
+    def state(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), rows=rows)
+    last = state(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
@@ -31,8 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p"))
-        e = written(small.select("p.u", "p.v").where("u <> v").distinct())
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        e = written(small.select("p.u", "p.v").where("u <> v").distinct(), rows=2 * last[0])
+        now = state(e)
         if now == last:
             break
         last = now
@@ -67,15 +71,22 @@ def _forest(label: np.ndarray, mine: np.ndarray, linked: Callable[[int, np.ndarr
     return edges
 
 
-def link_groups(rows: DataFrame, linker: Callable[[pd.DataFrame], Callable[[int, np.ndarray], np.ndarray]], *, block: int = BLOCK, weight: str = "1", heavy: int = 1 << 22) -> DataFrame:
+def link_groups(rows: DataFrame, linker: Callable[[pd.DataFrame], Callable[[int, np.ndarray], np.ndarray]], *, block: int = BLOCK, weight: str = "1", heavy: int = 1 << 22,
+                total: int | None = None) -> DataFrame:
     """Edges ``a, b`` that connect, inside each ``group``, exactly what its links connect.
 
     ``rows``: ``group, node`` (longs, distinct) and whatever ``linker(frame)`` needs to say which rows of the frame are linked.
     A group of up to ``block`` rows (and ``heavy`` in total ``weight``) is one task's frame.  A larger one is dealt into
     blocks: each block alone, then each with the first; then only the rows outside the group's largest
     component meet the other blocks.  No pair is skipped unless its rows are joined already, and no
-    task holds more than two blocks.
+    task holds more than two blocks.  ``total`` is the caller's bound on the number of rows, if it has one.
     """
+    per = 1 << 11
+
+    def compared(d: DataFrame, *by: str) -> DataFrame:
+        """``local`` over the groups of ``by``: few bytes but much work, so the number of tasks goes by rows."""
+        d = d.repartition(*by) if total is None else d.repartition(max(2, -(-total // per)), *by)
+        return written(d.groupBy(*by).applyInPandas(local, shape))
     extra = [f for f in rows.schema if f.name not in ("group", "node")]
     shape = "a bigint, b bigint"
 
@@ -89,21 +100,22 @@ def link_groups(rows: DataFrame, linker: Callable[[pd.DataFrame], Callable[[int,
 
     size = rows.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum(F.expr(weight)) / heavy)).cast("int").alias("_n"))
     d = rows.join(size, "group").withColumn("_blk", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
-    first = written(d.groupBy("group", "_blk").applyInPandas(local, shape))
-    large = written(size.where("_n > 1"))
+    # Dealt by both keys, so that the blocks of a large group do not follow its join into one task.
+    first = compared(d, "group", "_blk")
+    large = written(size.where("_n > 1"), rows=total, per=per * block)
     if large.isEmpty():
         return first
-    d = written(d.where("_n > 1"))
+    d = written(d.where("_n > 1"), rows=total)
     names = ["group", "node", "_blk", "_n", *[f.name for f in extra]]
 
     def labelled(edges: DataFrame) -> DataFrame:
-        c = components(edges.join(d.select(F.col("node").alias("a")).distinct(), "a", "left_semi"))
+        c = components(edges.join(d.select(F.col("node").alias("a")).distinct(), "a", "left_semi"), total)
         return d.join(c, "node", "left").select(*names, F.coalesce("root", "node").alias("_label"))
 
     to_first = labelled(first).withColumn("_to", F.explode(F.when(F.col("_blk") == 0, F.sequence(F.lit(1), F.col("_n") - 1)).otherwise(F.array("_blk"))))
-    second = written(to_first.withColumn("_mine", F.col("_blk") == 0).groupBy("group", "_to").applyInPandas(local, shape))
+    second = compared(to_first.withColumn("_mine", F.col("_blk") == 0), "group", "_to")
     both = first.union(second)
-    lab = written(labelled(both))
+    lab = written(labelled(both), rows=total)
     counts = lab.groupBy("group", "_label").count()
     most = counts.groupBy("group").agg(F.max(F.struct("count", F.col("_label").alias("l"))).alias("_most")).select("group", F.col("_most.l").alias("_main"))
     lab = lab.join(most, "group").withColumn("_rest", F.col("_label") != F.col("_main"))
@@ -113,5 +125,4 @@ def link_groups(rows: DataFrame, linker: Callable[[pd.DataFrame], Callable[[int,
     own = lab.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).withColumn("_b", F.col("_blk")).withColumn("_mine", F.col("_rest") & (F.col("_p") == F.col("_part")))
     away = lab.where("_rest").withColumn("_p", F.col("_part")).withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).where("_b <> _blk").withColumn("_mine", F.lit(True))
     keep = [*names, "_label", "_p", "_b", "_mine"]
-    third = own.select(*keep).union(away.select(*keep)).groupBy("group", "_p", "_b").applyInPandas(local, shape)
-    return both.union(written(third))
+    return both.union(compared(own.select(*keep).union(away.select(*keep)), "group", "_p", "_b"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import small_batches, written
+from tidewheel.llm.base import boxed, scratch_tables, small_batches, written
 from tidewheel.llm.components import BLOCK, components, link_groups
 
 M64 = (1 << 64) - 1
@@ -89,7 +89,7 @@ def _as_long(x: bytes) -> int:
 
 
 def signatures(docs: DataFrame, percent: int, width: int, min_samples: int = 128, row: str | None = None) -> DataFrame:
-    """Per row of ``docs``: ``row, doc_id, n_shingles, node`` (a hash of the whole set), ``bands`` and ``sketch``."""
+    """Per row of ``docs``: ``row, doc_id, text_key, n_shingles, node`` (a hash of the whole set), ``bands`` and ``sketch``."""
     small_batches(docs.sparkSession)
     n_bands = bands_for(percent)
     k = max(min_samples, n_bands * ROWS)
@@ -97,20 +97,24 @@ def signatures(docs: DataFrame, percent: int, width: int, min_samples: int = 128
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for row, doc, text in zip(*(c.to_pylist() for c in b.columns)):
+            for row, doc, key, text in zip(*(c.to_pylist() for c in b.columns)):
                 s = shingles(text, width)
                 if not len(s):
-                    out.append((row, doc, 0, None, None, None))
+                    out.append((row, doc, key, 0, None, None, None))
                     continue
                 m = min_hashes(s, k)
                 bands = [_as_long(xxhash.xxh3_64_digest(m[ROWS * i:ROWS * i + ROWS].tobytes(), i)) for i in range(n_bands)]
-                out.append((row, doc, len(s), _as_long(xxhash.xxh3_128_digest(s.tobytes())), bands, odd_sketch(m)))
+                out.append((row, doc, key, len(s), _as_long(xxhash.xxh3_128_digest(s.tobytes())), bands, odd_sketch(m)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
-                                                 ["row", "doc_id", "n_shingles", "node", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
+                                                 ["row", "doc_id", "text_key", "n_shingles", "node", "bands", "sketch"])
 
-    d = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(run, "row bigint, doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>, sketch binary")
+    d = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), _text_key(), F.col("text").cast("string").alias("text"))
+    return d.mapInArrow(run, "row bigint, doc_id bigint, text_key bigint, n_shingles bigint, node bigint, bands array<bigint>, sketch binary")
+
+
+def _text_key():
+    return F.xxhash64(F.col("text").cast("string")).alias("text_key")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block: int = BLOCK, row: str | None = None) -> DataFrame:
@@ -124,19 +128,32 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block
     2. Nodes that agree in a band meet; inside each band bucket the odd sketches' XOR counts decide who may be linked.
        Only a spanning forest of that leaves the bucket; its components are the families.
     3. Families get their full sets, and exact similarity decides; again only a forest leaves.
-    Null and empty texts have no shingles: each is its own component.  An empty table gives no rows.
+    Null and empty texts have no shingles: each is its own component.  An empty table gives no rows.  The result is a written
+    table; all intermediate ones are deleted.
     """
+    with scratch_tables(docs.sparkSession):
+        found, n = _near_duplicates(docs, percent, width, block, row)
+        return written(found, keep=True, rows=n)
+
+
+def _near_duplicates(docs: DataFrame, percent: int, width: int, block: int, row: str | None) -> tuple[DataFrame, int]:
     limit = odd_limit(percent / 100, max(128, bands_for(percent) * ROWS))
     sig = written(signatures(docs, percent, width, row=row))
-    nodes = sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    banded = written(nodes.select("node", "sketch", F.explode("bands").alias("group")))
-    shared = banded.groupBy("group").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("group")
+    n = sig.count()
+    nodes = sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = written(nodes, rows=n)
+    banded = written(nodes.select("node", "sketch", F.explode("bands").alias("group")), rows=n)
+    # Close families meet in many bands: of the buckets with the same members one is sifted.
+    buckets = banded.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+                                          F.min("node").alias("lo"), F.max("node").alias("hi")).where("c > 1")
+    shared = written(buckets.groupBy("c", "x", "y", "lo", "hi").agg(F.min("group").alias("group")).select("group", "c"), rows=n)
+    met = shared.agg(F.sum("c")).first()[0] or 0
 
     def sift(pdf: pd.DataFrame):
         bits = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)
         return lambda i, others: np.bitwise_count(bits[others] ^ bits[i]).sum(1) <= limit
 
-    family = written(components(link_groups(banded.join(shared, "group"), sift, block=block)))
+    family = written(components(link_groups(banded.join(shared.select("group"), "group"), sift, block=block, total=met), met), rows=n)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,11 +165,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["group", "node", "shingles"])
 
-    # One document per node brings its set; rows that share its id are told apart by the set itself.
-    wanted = family.join(sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("_id")), "node").select(F.col("root").alias("group"), "node", "_id")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
-    full = texts.join(wanted, F.col("_doc").eqNullSafe(F.col("_id"))).select("group", "node", "text")
-    full = written(full.mapInArrow(sets, "group bigint, node bigint, shingles binary").dropDuplicates(["node"]))
+    # One document per node brings its set; id and text hash name it, so rows with equal or no ids do not all meet.
+    wanted = family.join(nodes.select("node", "one"), "node").select(F.col("root").alias("group"), "node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), _text_key(), F.col("text").cast("string").alias("text"))
+    full = texts.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))).select("group", "node", "text")
+    full = written(full.mapInArrow(sets, "group bigint, node bigint, shingles binary").dropDuplicates(["node"]), rows=n, per=1 << 10)
+    held = full.count()
 
     def decide(pdf: pd.DataFrame):
         raw = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
@@ -176,20 +194,20 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block
 
         return linked
 
-    found = components(link_groups(full, decide, block=block, weight="octet_length(shingles) / 8"))
-    classes = written(nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
+    found = components(link_groups(full, decide, block=block, weight="octet_length(shingles) / 8", total=held), held)
+    classes = written(nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), rows=n)
     best = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(best, "root").select("node", "component_id", "root")
     d = sig.select("row", "doc_id", "n_shingles", "node").join(named, "node", "left")
     firsts = d.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)).alias("o"), "row")).alias("_f")).select("root", F.col("_f.row").alias("_first"))
     own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (d.join(firsts, "root", "left")
-            .select("row", "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
-                    F.coalesce(F.col("row") == F.col("_first"), F.lit(True)).alias("first")))
+    rows = d.join(firsts, "root", "left").select("row", "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
+                                                F.coalesce(F.col("row") == F.col("_first"), F.lit(True)).alias("first"))
+    return rows, n
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The documents of which ``near_duplicates`` says ``first``: one of each component, with all columns of ``docs``."""
-    base = written(docs.withColumn("_tw_row", F.monotonically_increasing_id()))
-    keep = near_duplicates(base, row="_tw_row", **how).where("first").select(F.col("row").alias("_tw_row"))
-    return base.join(keep, "_tw_row", "left_semi").drop("_tw_row")
+    base = written(boxed(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()).drop("doc_id", "text"))
+    keep = near_duplicates(base.select("row", "_doc.doc_id", "_doc.text"), row="row", **how).where("first").select("row")
+    return base.join(keep, "row", "left_semi").select("_doc.*")
