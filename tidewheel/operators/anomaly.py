@@ -238,7 +238,7 @@ def knn_conformal(df: DataFrame, threshold: float = 0.95, dim: int = 5, train: i
             lower[d:] += s[:-d] < s[d:]
             seen[d:] += np.isfinite(s[:-d])
         flag = own & (np.arange(n) + first - k0 >= nt + dim) & np.isfinite(s) & (seen > 0) & (lower >= threshold * seen)
-        return pd.DataFrame({"id": [pdf["id"].iloc[0]] * int(flag.sum()), "k": np.flatnonzero(flag) + first})
+        return pd.DataFrame({"id": np.full(int(flag.sum()), pdf["id"].iloc[0], object), "k": np.flatnonzero(flag) + first})
 
     return h.groupBy("id", "_chunk").applyInPandas(score, f"id {df.schema['id'].dataType.simpleString()}, k bigint")
 
