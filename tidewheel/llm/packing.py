@@ -94,7 +94,7 @@ def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.
 
 
 def assign(pieces: DataFrame, size: int, place, shard: int = SHARD) -> DataFrame:
-    """``row, piece, sequence_id, offset``; ``pieces`` is a written table, of which only lengths are read."""
+    """``row, piece, sequence_id, offset``; ``pieces`` comes from a written table, of which only lengths are read."""
     lengths = pieces.select("row", "piece", "length")
     shards = max(1, -(-lengths.count() // shard))
 
@@ -107,30 +107,43 @@ def assign(pieces: DataFrame, size: int, place, shard: int = SHARD) -> DataFrame
             .groupBy("shard").applyInPandas(run, "row bigint, piece int, sequence_id bigint, offset bigint"))
 
 
-def pack_documents(docs: DataFrame, path: str, *, size: int = 2048, place=sum_of_squares, by_chunk: bool = True, shard: int = SHARD,
-                   columns: dict[str, Column] | None = None, narrow: bool = False) -> DataFrame:
+def pack_parts(docs: DataFrame, path: str, *, size: int = 2048, place=sum_of_squares, by_chunk: bool = True, shard: int = SHARD,
+               columns: dict[str, Column] | None = None, narrow: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The pieces of ``pack_documents`` in two frames: those that fill a sequence alone, which no shuffle touches, and the others."""
+    pieces = cut_pieces(docs, path, size, by_chunk=by_chunk, narrow=narrow)
+    what = {"ids": F.col("ids")} if columns is None else columns
+    asked = [c.alias(n) for n, c in what.items()]
+    alone = pieces.where(F.col("length") == size).select(
+        "doc_id", "piece", "start", "length", *asked, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    rest = pieces.where(F.col("length") < size)
+    shared = (rest.select("row", "doc_id", "piece", "start", "length", *asked).join(assign(rest, size, place, shard), ["row", "piece"])
+              .select("doc_id", "piece", "start", "length", *what, "sequence_id", "offset"))
+    return alone, shared
+
+
+def pack_documents(docs: DataFrame, path: str, **how) -> DataFrame:
     """Pieces with their place: ``doc_id, piece, start, length, sequence_id, offset`` and ``ids``.
 
-    ``columns`` replaces ``ids`` by expressions over it, computed before rows move; ``narrow`` gives ids of two bytes.  Every document gives at least the
-    closing id, so null and empty texts take one place; repeated rows are packed as often as they come; an empty table
-    gives no rows.
+    ``columns`` replaces ``ids`` by expressions over it, computed before rows move; ``narrow`` gives ids of two bytes; the other
+    arguments are those of ``pack_parts``.  Every document gives at least the closing id, so null and empty texts take one place; repeated
+    rows are packed as often as they come; an empty table gives no rows.
     """
-    pieces = cut_pieces(docs, path, size, by_chunk=by_chunk, narrow=narrow)
-    what = {"ids": F.col("ids")} if columns is None else columns
-    return (pieces.select("row", "doc_id", "piece", "start", "length", *[c.alias(n) for n, c in what.items()])
-            .join(assign(pieces, size, place, shard), ["row", "piece"])
-            .select("doc_id", "piece", "start", "length", *what, "sequence_id", "offset"))
+    alone, shared = pack_parts(docs, path, **how)
+    return alone.unionByName(shared)
 
 
-def id_matrix(packed: DataFrame, size: int = 2048, pad_id: int = 0, narrow: bool = False) -> DataFrame:
+def id_matrix(shared: DataFrame, size: int = 2048, pad_id: int = 0, narrow: bool = False, alone: DataFrame | None = None) -> DataFrame:
     """One row per sequence, as a trainer reads it.
 
     ``input_ids`` (uint32 little-endian, padded to ``size``), ``n_tokens``, ``cu_seqlens`` (0, then the end of each
     segment), ``position_ids`` (restart at 0 in each segment; the padding is one more run), ``doc_ids`` and ``pieces``.
-    A sequence holds ``size`` ids at most, so the lists are bounded.  ``narrow``: the given ``ids`` have two bytes each.
+    A sequence holds ``size`` ids at most, so the lists are bounded.  ``narrow``: the given ``ids`` have two bytes each.  Rows of ``alone`` are a
+    sequence each and need no grouping.  No pieces give no rows.
     """
-    seg = F.sort_array(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "ids")))
-    s = packed.groupBy("sequence_id").agg(seg.alias("s"))
+    entry = F.struct("offset", "length", "doc_id", "piece", "ids")
+    s = shared.groupBy("sequence_id").agg(F.sort_array(F.collect_list(entry)).alias("s"))
+    if alone is not None:
+        s = s.unionByName(alone.select("sequence_id", F.array(entry).alias("s")))
     parts = s.select("sequence_id", F.transform("s", lambda x: x["length"].cast("int")).alias("lengths"), F.transform("s", lambda x: x["doc_id"]).alias("doc_ids"),
                      F.transform("s", lambda x: x["piece"]).alias("pieces"), F.transform("s", lambda x: x["ids"]).alias("ids"))
     held = "<u2" if narrow else "<u4"

@@ -25,8 +25,8 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packed_id_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.default_vocabulary()
     narrow = tokens.narrow_ids(path)
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"), path, place=packing.best_fit_decreasing, narrow=narrow)
-    m = packing.id_matrix(packed, narrow=narrow)
+    alone, shared = packing.pack_parts(table(spark, sf_dir, "documents"), path, place=packing.best_fit_decreasing, narrow=narrow)
+    m = packing.id_matrix(shared, narrow=narrow, alone=alone)
     return m.select("sequence_id", "n_tokens", "cu_seqlens", "doc_ids", "pieces", F.crc32("input_ids").alias("ids_crc32"),
                     F.size("position_ids").alias("n_positions"),
                     F.size(F.filter("position_ids", lambda p: p == 0)).alias("n_resets"))
