@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -66,6 +66,21 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+#: How to free what this worker process keeps between its tasks, by what keeps it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, clear: Callable[[], None]) -> None:
+    """Let other operators' tasks in this worker process free a cache."""
+    _HELD[name] = clear
+
+
+def release(keep: str = "") -> None:
+    """Free what earlier operators left in this worker process, but for ``keep``: workers are used again by later stages."""
+    for name in [n for n in _HELD if n != keep]:
+        _HELD.pop(name)()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

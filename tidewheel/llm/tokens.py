@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import small_batches, written
+from tidewheel.llm.base import hold, release, small_batches, written
 
 PIECES = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary"
 #: Words whose ids a worker remembers; beyond that it starts afresh.
@@ -81,11 +81,17 @@ def narrow_ids(path: str) -> bool:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, by_chunk: bool) -> Encoder:
-    """One per worker process: later tasks of the worker find the words it has learnt."""
+def _encoder(path: str, by_chunk: bool) -> Encoder:
     return Encoder(path, by_chunk)
 
 
+def encoder(path: str, by_chunk: bool) -> Encoder:
+    """One per worker process: later tasks of the worker find the words it has learnt, until another operator's task frees them."""
+    release("tokens")
+    hold("tokens", _encoder.cache_clear)
+    return _encoder(path, by_chunk)
+
+
 def cut_pieces(docs: DataFrame, path: str, size: int, *, by_chunk: bool = True, end_id: int = 0, narrow: bool = False) -> DataFrame:
     """One row per piece: ids of the document, then ``end_id``, cut every ``size`` ids.
 
