@@ -17,12 +17,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import small_batches, unit_hash, written
+from tidewheel.llm.base import hold, release, small_batches, unit_hash, written
 
 SPACE = 1 << 22
 TOKEN = re.compile(rb"[a-z\x80-\xff]+")
 #: Labelled documents the model is fitted on at most, the lowest by hash of their id.
 SAMPLE = 20_000
+#: Commonest terms whose pairs are tried as well, so that terms which matter only together are not sifted out.
+PAIRED = 256
 
 
 @lru_cache(maxsize=200_000)
@@ -53,8 +55,37 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 8, epochs: int = 30, rate: float = 0.1, l2: float = 1e-4, min_chi2: float = 15.0, seed: int = 5) -> Machine:
-    """Logistic loss, AdaGrad over mini-batches.  Terms enter whose presence depends on the label (chi squared)."""
+def interacting(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, k: int, least: float = 8.0, cell: int = 5) -> np.ndarray:
+    """Which of ``k`` columns take part in a pair whose joint effect on the label is not the sum of the two.
+
+    ``rows, columns`` are the ones of a 0/1 matrix.  With r the label's rate among documents that hold both, one or none of a pair,
+    r11 - r10 - r01 + r00 must lie ``least`` standard errors from 0, each kind having ``cell`` documents at least.
+    """
+    n = len(y)
+    both, hits = np.zeros((k, k)), np.zeros((k, k))
+    order = np.argsort(rows, kind="stable")
+    rows, columns = rows[order], columns[order]
+    for lo in range(0, n, 2048):
+        a, b = np.searchsorted(rows, [lo, lo + 2048])
+        x = np.zeros((min(2048, n - lo), k), np.float32)
+        x[rows[a:b] - lo, columns[a:b]] = 1
+        both += x.T @ x
+        hits += x.T @ (x * y[lo:lo + 2048, None].astype(np.float32))
+    one, one_hits = np.diag(both).copy(), np.diag(hits).copy()
+    counts = [both, one[:, None] - both, one[None] - both, n - one[:, None] - one[None] + both]
+    labels = [hits, one_hits[:, None] - hits, one_hits[None] - hits, y.sum() - one_hits[:, None] - one_hits[None] + hits]
+    rates = [(h + 0.5) / (c + 1) for h, c in zip(labels, counts)]
+    error = sum(r * (1 - r) / (c + 1) for r, c in zip(rates, counts))
+    z = np.abs(rates[0] - rates[1] - rates[2] + rates[3]) / np.sqrt(error + 1e-12)
+    z[np.min(counts, axis=0) < cell] = 0
+    np.fill_diagonal(z, 0)
+    return (z >= least).any(1)
+
+
+def fit(docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 8, epochs: int = 30, rate: float = 0.1, l2: float = 1e-4, min_chi2: float = 15.0, seed: int = 5,
+        paired: int = PAIRED) -> Machine:
+    """Logistic loss, AdaGrad over mini-batches.  Terms enter whose presence depends on the label (chi squared), and of the ``paired``
+    commonest ones those that do so in a pair."""
     y = labels.astype(np.float64)
     n, pos = len(y), y.sum()
     if not n or pos in (0, n) or not sum(map(len, docs)):
@@ -67,6 +98,11 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 8, epochs:
     expected = total * pos / n
     var = expected * (1 - pos / n) * (1 - total / n) + 1e-9
     take = ((hits - expected) ** 2 / var >= min_chi2) & (total >= 3)
+    common = np.sort(np.argsort(-total, kind="stable")[:paired])
+    column = np.full(len(all_slots), -1)
+    column[common] = np.arange(len(common))
+    some = column[which] >= 0
+    take[common[interacting(np.repeat(np.arange(n), sizes)[some], column[which][some], y, len(common))]] = True
     index = np.where(take, np.cumsum(take) - 1, -1)[which]
     keep = index >= 0
     row = np.repeat(np.arange(n), sizes)[keep]
@@ -107,10 +143,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2: float = 15.0, **how) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2: float = 15.0, paired: int = PAIRED, **how) -> Machine:
     """A model from at most ``sample`` labelled documents outside the held-out third.
 
-    Spark counts the terms of the sample; only those that depend on the label reach the driver, where the fit runs.
+    Spark counts the terms of the sample; only those that depend on the label, and the ``paired`` commonest others, whose pairs may,
+    reach the driver, where the fit runs.  Without labels, or with one kind only, the model has no terms.
 
     Repeated or contradicting labels of a document count as the larger one; null labels and ids are left out.
     """
@@ -120,6 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2:
              .orderBy(unit_hash(F.col("doc_id"), seed=3), "doc_id").limit(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("toxicity")
+        hold("toxicity", _slots.cache_clear)
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(terms(t)) for t in b.column(0).to_pylist()], pa.list_(pa.int64())), b.column(1), b.column(2)],
                                              ["terms", "toxic", "doc_id"])
@@ -130,8 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2:
     n, pos = found.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     expected = F.col("n") * F.lit(pos / max(n, 1))
     var = expected * F.lit(1 - pos / max(n, 1)) * (1 - F.col("n") / F.lit(float(max(n, 1)))) + F.lit(1e-9)
-    slots = set(found.select("toxic", F.explode("terms").alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits"))
-                .where(((F.col("hits") - expected) ** 2 / var >= min_chi2) & (F.col("n") >= 3)).select("slot").toArrow().column(0).to_pylist())
+    counts = written(found.select("toxic", F.explode("terms").alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits")))
+    alone = counts.where(((F.col("hits") - expected) ** 2 / var >= min_chi2) & (F.col("n") >= 3)).select("slot")
+    common = counts.orderBy(F.desc("n"), "slot").limit(paired).select("slot")
+    slots = set(alone.union(common).toArrow().column(0).to_pylist())
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -139,8 +180,8 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_chi2:
 
     got = found.mapInArrow(sift, found.schema).toArrow().sort_by("doc_id")
     column = got.column("terms").combine_chunks()
-    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], got.column("toxic").to_numpy(), min_chi2=min_chi2, **how)
+    flat, ends = column.values.to_numpy(zero_copy_only=False).astype(np.int32), column.offsets.to_numpy()
+    return fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], got.column("toxic").to_numpy(), min_chi2=min_chi2, paired=paired, **how)
 
 
 def score(docs: DataFrame, model: Machine, name: str = "score") -> DataFrame:
@@ -154,6 +195,8 @@ def score(docs: DataFrame, model: Machine, name: str = "score") -> DataFrame:
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema) + f", `{name}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("toxicity")
+        hold("toxicity", _slots.cache_clear)
         m = Machine(*parts)
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
