@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import boxed, n_words, unit_hash
+from tidewheel.llm.base import boxed, n_words, unit_hash, written
 
 
 def source_targets(totals: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0) -> DataFrame:
@@ -38,13 +38,13 @@ def mix_plan(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), cap: floa
     The rate of a source is target / source_size; a document is taken floor(rate) times and once more if the hash of
     its ``doc_id`` and the seed falls below the fraction, so reruns and repeated rows agree.  Null texts have size 0,
     a source without words has rate 0.  ``docs`` must hold ``doc_id, text, source``; columns named like the added ones
-    are replaced.  The per-source table joins without a hint: the planner broadcasts it where it is small and
-    splits a hot source otherwise.
+    are replaced.  The per-source table is written, so the planner knows its size: where it is small it is broadcast and no
+    document moves, else the join is dealt by source and a hot one is split.
     """
     size = n_words(F.col("text")) if size is None else size
     d = docs.withColumn("size", size)
     totals = d.groupBy("source").agg(F.sum("size").alias("source_size"))
-    t = source_targets(totals, weights, cap).withColumnRenamed("source", "_source")
+    t = written(source_targets(totals, weights, cap).withColumnRenamed("source", "_source"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     drawn = unit_hash(F.col("doc_id"), seed=seed) < rate - F.floor(rate)
     return (d.drop("source_size", "target", "copies").join(t, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")

@@ -112,7 +112,8 @@ def judge(docs: DataFrame, *, class_limit: float = 0.22, short_limit: float = 0.
     m = measures(docs)
     m = written(m if keep_text else m.drop("text"))
     sums = lambda name, n: F.array(*[F.coalesce(F.sum(F.col(f"m.{name}")[i]), F.lit(0)) for i in range(n)]).alias(f"_{name}")
-    ref = m.groupBy(F.col("lang").alias("_lang")).agg(sums("classes", len(CLASSES)), sums("common", N_COMMON + 1))
+    # One row per language, written: the planner knows its size, and documents only move if it is large.
+    ref = written(m.groupBy(F.col("lang").alias("_lang")).agg(sums("classes", len(CLASSES)), sums("common", N_COMMON + 1)))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     failed = (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
     d = m.join(ref, F.col("lang").eqNullSafe(F.col("_lang")), "left")
