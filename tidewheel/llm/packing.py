@@ -149,21 +149,32 @@ def id_matrix(shared: DataFrame, size: int = 2048, pad_id: int = 0, narrow: bool
     held = "<u2" if narrow else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = np.arange(size, dtype=np.int32)
         for b in batches:
             for lo in range(0, len(b), 200):
                 part = b.slice(lo, 200)
-                ids, totals, ends, places = [], [], [], []
-                for lengths, raw in zip(part.column(1).to_pylist(), part.column(4).to_pylist()):
-                    cuts = np.concatenate([[0], np.cumsum(lengths)])
-                    row = np.full(size, pad_id, "<u4")
-                    row[:cuts[-1]] = np.frombuffer(b"".join(raw), held)
-                    place = np.arange(size)
-                    for k, end in zip(cuts.tolist(), [*cuts[1:].tolist(), size]):
-                        place[k:end] -= k
-                    ids.append(row.tobytes()), totals.append(int(cuts[-1])), ends.append(cuts), places.append(place)
+                n = len(part)
+                lengths, raw = part.column(1).flatten().to_numpy().astype(np.int64), part.column(4).flatten().cast(pa.binary())
+                count = part.column(1).value_lengths().to_numpy().astype(np.int64)
+                row, ends = np.repeat(np.arange(n), count), np.cumsum(lengths)
+                total = np.bincount(row, weights=lengths, minlength=n).astype(np.int64)
+                start = ends - lengths - (np.cumsum(total) - total)[row]
+                at = np.frombuffer(raw.buffers()[1], np.int32, len(raw) + 1, 4 * raw.offset)
+                flat = np.frombuffer(raw.buffers()[2], np.uint8, at[-1] - at[0], at[0]).view(held) if len(raw) else np.empty(0, held)
+                ids = np.full((n, size), pad_id, "<u4")
+                ids[cell < total[:, None]] = flat
+                # Each cell's segment begins at the last mark before it; the padding is one more run.
+                mark = np.zeros((n, size), np.int32)
+                mark[row, start] = start
+                short = np.flatnonzero(total < size)
+                mark[short, total[short]] = total[short]
+                place = cell - np.maximum.accumulate(mark, axis=1)
+                cuts = np.zeros(len(lengths) + n, np.int32)
+                cuts[np.arange(len(lengths)) + row + 1] = start + lengths
+                wide, edges = np.arange(n + 1, dtype=np.int32) * size, np.concatenate([[0], np.cumsum(count + 1)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(totals, pa.int32()), pa.array(ids, pa.binary()), pa.array(ends, pa.list_(pa.int32())),
-                     pa.array(places, pa.list_(pa.int32())), part.column(2), part.column(3)],
+                    [part.column(0), pa.array(total.astype(np.int32)), pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(4 * wide), pa.py_buffer(ids)]),
+                     pa.ListArray.from_arrays(pa.array(edges), pa.array(cuts)), pa.ListArray.from_arrays(pa.array(wide), pa.array(place.ravel())), part.column(2), part.column(3)],
                     ["sequence_id", "n_tokens", "input_ids", "cu_seqlens", "position_ids", "doc_ids", "pieces"])
 
     return parts.mapInArrow(run, "sequence_id bigint, n_tokens int, input_ids binary, cu_seqlens array<int>, position_ids array<int>, doc_ids array<bigint>, pieces array<int>")
