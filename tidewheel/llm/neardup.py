@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.base import boxed, scratch_tables, small_batches, written
+from tidewheel.llm.base import boxed, release, scratch_tables, small_batches, written
 from tidewheel.llm.components import BLOCK, components, link_groups
 
 M64 = (1 << 64) - 1
@@ -95,6 +95,7 @@ def signatures(docs: DataFrame, percent: int, width: int, min_samples: int = 128
     k = max(min_samples, n_bands * ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             out = []
             for row, doc, key, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -142,7 +143,7 @@ def _near_duplicates(docs: DataFrame, percent: int, width: int, block: int, row:
     n = sig.count()
     nodes = sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = written(nodes, rows=n)
-    banded = written(nodes.select("node", "sketch", F.explode("bands").alias("group")), rows=n)
+    banded = written(nodes.select("node", F.explode("bands").alias("group")), rows=n)
     # Close families meet in many bands: of the buckets with the same members one is sifted.
     buckets = banded.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
                                           F.min("node").alias("lo"), F.max("node").alias("hi")).where("c > 1")
@@ -153,7 +154,9 @@ def _near_duplicates(docs: DataFrame, percent: int, width: int, block: int, row:
         bits = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)
         return lambda i, others: np.bitwise_count(bits[others] ^ bits[i]).sum(1) <= limit
 
-    family = written(components(link_groups(banded.join(shared.select("group"), "group"), sift, block=block, total=met), met), rows=n)
+    # Sketches join the members of the kept buckets only, they do not go through the band's shuffle.
+    members = written(banded.join(shared.select("group"), "group"), rows=met, per=1 << 15).join(nodes.select("node", "sketch"), "node")
+    family = written(components(link_groups(members, sift, block=block, total=met), met), rows=n)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
