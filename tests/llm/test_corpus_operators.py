@@ -1,6 +1,7 @@
 """Corpus operators against brute force, round trips, held-out accuracy, and odd rows."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -36,8 +37,15 @@ def test_query_equals_sql(spark, name):
 
 # ------------------------------------------------------------------ 1 near-duplicates
 
+def word_shingles(text, width=5):
+    """Shingles as tuples of words, without any hash."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", low) if x]
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
+
+
 def brute_components(rows, percent):
-    sets = [set(neardup.shingles(t).tolist()) for _, t in rows]
+    sets = [word_shingles(t) for _, t in rows]
     par = list(range(len(rows)))
 
     def find(i):
@@ -90,12 +98,25 @@ def test_neardup_odd_rows(odd, none):
     by = {r.doc_id: r for r in got}
     assert by[4].component_id == by[5].component_id == 4 and by[5].kept is False
     assert by[6].component_id == by[7].component_id == 6 and by[1].n_shingles == 0 and by[1].kept
+    assert all(r.n_shingles == len(word_shingles(t)) for r, t in ((by[d], t) for d, t, *_ in ODD if d))
+    left = neardup.drop_near_duplicates(odd.withColumns({"row": F.lit("r"), "_doc": F.lit(1)}))
+    assert left.columns == [*odd.columns, "row", "_doc"] and left.where("row <> 'r'").count() == 0
     left = neardup.drop_near_duplicates(odd)
     assert left.columns == odd.columns
     assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 2, 3, 4, 6]
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_equal_and_missing_ids_stay_apart(spark):
+    """Rows without an id, or all with the same one, are told apart by their texts."""
+    rng = random.Random(8)
+    texts = [" ".join(f"t{rng.randrange(400)}" for _ in range(30)) for _ in range(60)]
+    for key in (None, 7):
+        d = spark.createDataFrame([(key, t) for t in texts + texts[:20]], "doc_id long, text string")
+        got = neardup.near_duplicates(d).collect()
+        assert len(got) == 80 and sum(r.first for r in got) == 60
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     common, k = rng.integers(0, 1 << 63, 900, dtype=np.uint64), 128
@@ -159,8 +180,9 @@ def test_packed_pieces_hold_the_ids(spark):
 def test_matrix_round_trip(spark, odd, tmp_path, narrow):
     vocab = tokens.default_vocabulary()
     assert tokens.narrow_ids(vocab)
-    packed = packing.pack_documents(odd, vocab, place=packing.best_fit_decreasing, size=256, narrow=narrow)
-    packing.write_matrix(packing.id_matrix(packed, 256, narrow=narrow), str(tmp_path / "m"))
+    alone, shared = packing.pack_parts(odd, vocab, place=packing.best_fit_decreasing, size=256, narrow=narrow)
+    assert alone.where("length <> 256 OR offset <> 0").count() == 0 and alone.count() > 100
+    packing.write_matrix(packing.id_matrix(shared, 256, narrow=narrow, alone=alone), str(tmp_path / "m"))
     back, n = {}, 0
     for r in spark.read.parquet(str(tmp_path / "m")).collect():
         ids = np.frombuffer(r.input_ids, "<u4")
@@ -204,6 +226,22 @@ def test_machine_learns_a_pair(spark):
     assert sum(right) / len(right) > 0.98
 
 
+def test_machine_learns_what_only_a_pair_shows(spark):
+    """Exactly one of two words: neither depends on the label alone."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(3000):
+        w = [f"n{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(12)] + [x for x in ("harbour", "violet") if rng.random() < 0.5]
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(("harbour" in w) != ("violet" in w))))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    m = toxicity.train(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert 0 < len(m.slots) < 60
+    got = [r for r in toxicity.score(d, m).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect() if r.held]
+    assert sum((r.score >= 0.5) == bool(labels[r.doc_id][1]) for r in got) > 0.95 * len(got)
+
+
 def test_score_is_the_brute_force_sum():
     rng = np.random.default_rng(1)
     m = toxicity.Machine(np.arange(6), rng.normal(size=6), rng.normal(size=(6, 3)), -0.4)

@@ -2,10 +2,12 @@
 
 import collections
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from oracle import compare  # noqa: F401
+from test_corpus_operators import DOCS, ODD, brute_components
 from tidewheel.llm import mixing, quality, tokens, toxicity
-from test_corpus_operators import brute_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +38,30 @@ def test_stages_in_turn(spark):
     for r in got:
         load[r.sequence_id] += r.length
     assert max(load.values()) <= 2048
+
+
+CLASH = ["_toxicity", "row", "_doc", "m", "_lang", "copies", "kept", "text_key", "group"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    d = spark.createDataFrame(ODD, DOCS).withColumn("n_chars", F.length("text").cast("bigint"))
+    return d.withColumns({c: F.lit(f"own {c}") for c in CLASH if c not in d.columns})
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows(spark, odd, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, odd, SF)
+    rows = got.collect()
+    if name == "packing":
+        assert sum(r.length for r in rows if r.doc_id == 2) == 1 and {r.doc_id for r in rows} == {r.doc_id for r in odd.collect()}
+    else:
+        assert got.columns == odd.columns and all(r[c] == f"own {c}" for r in rows for c in CLASH if c not in ("kept", "m"))
+        want = {r for r in odd.collect()}
+        assert {r for r in rows} <= want
+    assert stage(spark, odd.where("false"), SF).count() == 0
+    if name == "near-dedup":
+        assert sorted(r.doc_id for r in rows if r.doc_id) == [1, 2, 3, 4, 6] and sum(r.doc_id is None for r in rows) == 2
+    if name == "toxicity":
+        assert len(rows) == len(ODD)
