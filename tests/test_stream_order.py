@@ -64,3 +64,85 @@ def test_one_batch_and_refusal(spark, tmp_path, batch):
     assert streamed(spark, tmp_path, [rows()]) == batch
     with pytest.raises(ValueError):
         LV.online_flags(spark.createDataFrame([], "id string, ts timestamp_ntz, y double"), n_train=0)
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+class _Map(dict):
+    """Map state that counts its scans."""
+    scans = 0
+
+    def updateValue(self, k, v):
+        self[k] = v
+
+    def getValue(self, k):
+        return self[k]
+
+    def removeKey(self, k):
+        del self[k]
+
+    def containsKey(self, k):
+        return k in self
+
+    def keys(self):
+        self.scans += 1
+        return iter(list(super().keys()))
+
+
+class _Value:
+    def __init__(self):
+        self.v = None
+
+    def exists(self):
+        return self.v is not None
+
+    def get(self):
+        return self.v
+
+    def update(self, v):
+        self.v = v
+
+
+class _Handle:
+    def __init__(self):
+        self.maps, self.timers = [], set()
+
+    def getMapState(self, *_):
+        self.maps.append(_Map())
+        return self.maps[-1]
+
+    def getValueState(self, *_):
+        return _Value()
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+def test_state_calls_do_not_go_by_bucket():
+    """Thousands of passed buckets are a few entries and one scan of the state; rows come back whole and in order."""
+    import pandas as pd
+
+    n, h = 20000, _Handle()
+    rng = np.random.default_rng(1)
+    us = rng.permutation(np.arange(n)) * 60_000_000 + 5
+    y = rng.normal(size=n)
+    p = LV._OrderedCharts(10, 60_000)
+    p.init(h)
+    assert list(p.handleInputRows(("a",), iter([pd.DataFrame({"us": us[i:i + 1000], "y": y[i:i + 1000]}) for i in range(0, n, 1000)]), _Clock(0))) == []
+    assert sum(len(m) for m in h.maps) < n / 50 and len(h.timers) < 10
+    half, out = n // 2 * 60_000 + 30_000, []
+    for ms in (half, 2 * n * 60_000):
+        for t in sorted(t for t in h.timers if t <= ms):
+            out += [(f["us"].to_numpy(), ms) for f in p.handleExpiredTimer(("a",), _Clock(ms), None)]
+            h.timers.discard(t)
+        if ms == half:
+            assert min(h.timers) == (n // 2 + 1) * 60_000
+    assert np.concatenate([u for u, _ in out]).tolist() == sorted(us.tolist())
+    assert max(u.max() for u, ms in out if ms == half) == (n // 2 - 1) * 60_000_000 + 5
+    assert sum(m.scans for m in h.maps) < 20 and not any(h.maps)

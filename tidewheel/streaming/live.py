@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -36,45 +37,92 @@ def enrich(events: DataFrame, calendar: DataFrame, on: Sequence[str], cols: Sequ
 
 
 class _OrderedCharts(StatefulProcessor):
-    """Rows wait in time buckets until the watermark has passed them; then a key's chart sees them in time order."""
+    """Rows wait in stretches of time until the watermark has passed their bucket; then a key's chart sees them in time order."""
+
+    #: Buckets of one stretch; rows that a key gathers before they go to the state; rows of one output frame.
+    STRETCH, GATHERED, OUT = 256, 1 << 18, 1 << 13
 
     def __init__(self, n_train: int, bucket_ms: int):
         self.n_train, self.bucket_ms = n_train, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket bigint", "us array<bigint>, y array<double>")
+        # A stretch's rows are as many entries as there were deliveries: each is written once and read once.
+        self.waiting = handle.getMapState("waiting", "stretch bigint, delivery bigint", "us binary, y binary")
+        self.deliveries = handle.getValueState("deliveries", "n bigint")
         # Training values until there are enough of them, then the chart's few numbers.
         self.chart = handle.getValueState("chart", "head array<double>, s array<double>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
+        closed, parts, n = self._closed(timerValues), [], 0
         for pdf in rows:
-            for b, part in pdf.groupby(pdf["us"] // (1000 * self.bucket_ms)):
-                end = (int(b) + 1) * self.bucket_ms
-                if end <= passed:  # later than promised
-                    continue
-                us, y = self.waiting.getValue((int(b),)) if self.waiting.containsKey((int(b),)) else ([], [])
-                self.waiting.updateValue((int(b),), ([*us, *part["us"].tolist()], [*y, *part["y"].tolist()]))
-                self.handle.registerTimer(end)
+            us, y = pdf["us"].to_numpy(np.int64), pdf["y"].to_numpy(np.float64)
+            known = us >= closed  # others are later than promised
+            parts.append((us[known], y[known]))
+            n += int(known.sum())
+            if n >= self.GATHERED:
+                self._hold(parts)
+                parts, n = [], 0
+        if n:
+            self._hold(parts)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        for b in sorted(b for (b,) in self.waiting.keys() if (b + 1) * self.bucket_ms <= passed):
-            us, y = (np.array(v) for v in self.waiting.getValue((b,)))
-            order = np.lexsort((y, us))
-            flags = self._advance(y[order].tolist())
-            self.waiting.removeKey((b,))
-            out = pd.DataFrame(flags, columns=["pewma", "sd_ewma", "two_stage"]).astype("int32")
-            out.insert(0, "us", us[order])
-            out.insert(0, "id", key[0])
-            yield out
-
-    def _advance(self, values: list[float]) -> list[tuple[int, int, int]]:
+        """All that has passed, stretch by stretch; a timer stands for the first bucket that has not."""
+        closed, span = self._closed(timerValues), 1000 * self.bucket_ms * self.STRETCH
         head, state = self.chart.get() if self.chart.exists() else ([], None)
-        head, flags = list(head), []
-        chart = None if state is None else Ewma(0.0, 1.0, self.n_train, state)
+        head, chart = list(head), None if state is None else Ewma(0.0, 1.0, self.n_train, state)
+        ready, n = [], 0
+        for stretch, entries in groupby(sorted((s, e) for s, e in self.waiting.keys()), lambda x: x[0]):
+            if stretch * span >= closed:
+                self._wake(stretch * span)
+                break
+            entries = list(entries)
+            held = [self.waiting.getValue(e) for e in entries]
+            us, y = (np.concatenate([np.frombuffer(h[c], t) for h in held]) for c, t in ((0, np.int64), (1, np.float64)))
+            order = np.lexsort((y, us))
+            us, y = us[order], y[order]
+            k = int(np.searchsorted(us, closed))
+            for e in entries[k < len(us):]:
+                self.waiting.removeKey(e)
+            if k < len(us):  # the stretch that is passed in part
+                self.waiting.updateValue(entries[0], (us[k:].tobytes(), y[k:].tobytes()))
+                self._wake(int(us[k]))
+            if k:
+                chart, flags = self._advance(head, chart, y[:k].tolist())
+                ready.append((us[:k], flags))
+                n += k
+            if n >= self.OUT:
+                yield self._frame(key, ready)
+                ready, n = [], 0
+            if k < len(us):
+                break
+        if n:
+            yield self._frame(key, ready)
+        self.chart.update((head, None if chart is None else [float(x) for x in chart.s]))
+
+    def _closed(self, timerValues) -> int:
+        """The microsecond before which every bucket has been passed by the watermark."""
+        return timerValues.getCurrentWatermarkInMs() // self.bucket_ms * self.bucket_ms * 1000
+
+    def _wake(self, us: int) -> None:
+        """Call again when the bucket of ``us`` has been passed."""
+        self.handle.registerTimer((us // (1000 * self.bucket_ms) + 1) * self.bucket_ms)
+
+    def _hold(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        us, y = (np.concatenate(c) for c in zip(*parts))
+        stretch = us // (1000 * self.bucket_ms * self.STRETCH)
+        order = np.argsort(stretch, kind="stable")
+        stretch = stretch[order]
+        n = self.deliveries.get()[0] if self.deliveries.exists() else 0
+        for rows in np.split(order, np.flatnonzero(np.diff(stretch)) + 1):
+            self.waiting.updateValue((int(us[rows[0]]) // (1000 * self.bucket_ms * self.STRETCH), n), (us[rows].tobytes(), y[rows].tobytes()))
+        self.deliveries.update((n + 1,))
+        self._wake(int(us.min()))
+
+    def _advance(self, head: list[float], chart: Ewma | None, values: list[float]) -> tuple[Ewma | None, list[tuple[int, int, int]]]:
+        """The chart after ``values`` and their flags; training values are put to ``head``, which is emptied once there are enough."""
+        flags = []
         for v in values:
             if chart is not None:
                 flags.append(chart.update(v))
@@ -85,9 +133,14 @@ class _OrderedCharts(StatefulProcessor):
                 chart = Ewma(float(np.mean(head)), float(np.var(head)), self.n_train)
                 for x in head:
                     chart.update(x)
-                head = []
-        self.chart.update((head, None if chart is None else [float(x) for x in chart.s]))
-        return flags
+                head.clear()
+        return chart, flags
+
+    def _frame(self, key, ready: list) -> pd.DataFrame:
+        out = pd.DataFrame([f for _, flags in ready for f in flags], columns=["pewma", "sd_ewma", "two_stage"]).astype("int32")
+        out.insert(0, "us", np.concatenate([us for us, _ in ready]))
+        out.insert(0, "id", key[0])
+        return out
 
     def close(self) -> None:
         pass
@@ -98,8 +151,9 @@ def online_flags(events: DataFrame, n_train: int = 50, y: str = "y", late: str =
 
     Rows are put in time order (ties by value) across micro-batches: a row waits until the watermark, ``late`` behind the newest stamp, has passed
     its ``bucket`` of seconds, and rows later than that are dropped.  So flags do not depend on how rows are dealt to batches.  State per
-    key: the rows of the open buckets, one bucket at a time in memory, and a few numbers.  Rows without a value are left out.  Timers need
-    the RocksDB state store, which is set for the session's streams here.
+    key: the rows of the open buckets and a few numbers.  The rows are kept as arrays over stretches of 256 buckets, one stretch at a time in memory,
+    so that state calls go by stretches and not by rows.  Rows without a value are left out.  Timers need the RocksDB state store, which is
+    set for the session's streams here.
     """
     if n_train < 1:
         raise ValueError("n_train must be 1 at least")
