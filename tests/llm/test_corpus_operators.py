@@ -442,3 +442,30 @@ def test_mix_odd_rows(odd, none):
     plan = mixing.mix_plan(odd.drop("size")).collect()
     assert len(plan) == len(ODD) and all(0 <= r.copies <= 3 for r in plan) and len({r.copies for r in plan if r.doc_id == 4}) == 1
     assert mixing.mix(none).count() == 0
+
+
+def test_near_duplicate_filter_moves_candidates_only(spark):
+    """A row whose key is wanted always passes, most others do not, and the kept documents are found without moving any."""
+    rows = spark.range(20000).select(F.xxhash64("id").alias("key"), F.col("id").cast("string").alias("text"))
+    keys = rows.where("text % 100 = 0").select("key")
+    keys = keys.union(spark.createDataFrame([(0,), (-1,), (2 ** 63 - 1,), (-2 ** 63,)], "key long"))
+    rows = rows.union(spark.createDataFrame([(0, "a"), (-1, "b"), (2 ** 63 - 1, "c"), (-2 ** 63, "d"), (None, "e")], "key long, text string"))
+    got = {r.text for r in neardup.may_match(rows, "key", keys, 204).collect()}
+    assert {"a", "b", "c", "d"} | {str(i) for i in range(0, 20000, 100)} <= got and len(got) < 1000 and "e" not in got
+    # A full bitmap lets rows pass but loses none.
+    assert neardup.may_match(rows, "key", rows.where("key IS NOT NULL").select("key"), 20004, most=1 << 10).count() == 20004
+
+
+def test_kept_documents_are_not_shuffled(spark):
+    same = "one two three four five six seven eight nine ten "
+    docs = spark.createDataFrame([(i, same * 3 if i % 10 == 0 else f"{same}{i} {i + 1} {i + 2} other words {i * 7} end {i * 3}" * (i % 4 + 1), f"s{i}") for i in range(3000)], "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Less than the ids of all documents that stay, more than the few that go.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6k")
+    try:
+        out = neardup.drop_near_duplicates(docs)
+        ids = sorted(r.doc_id for r in out.collect())
+        assert ids[:2] == [0, 1] and not any(i % 10 == 0 for i in ids[1:])
+        assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

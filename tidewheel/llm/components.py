@@ -98,7 +98,8 @@ def link_groups(rows: DataFrame, linker: Callable[[pd.DataFrame], Callable[[int,
         found = _forest(label, mine, linker(pdf)) if len(pdf) > 1 else []
         return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
-    size = rows.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum(F.expr(weight)) / heavy)).cast("int").alias("_n"))
+    # Written, so that its size is known: a small one is broadcast, and the rows are moved once only.
+    size = written(rows.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum(F.expr(weight)) / heavy)).cast("int").alias("_n")), rows=total, per=1 << 15)
     d = rows.join(size, "group").withColumn("_blk", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
     # Dealt by both keys, so that the blocks of a large group do not follow its join into one task.
     first = compared(d, "group", "_blk")

@@ -118,6 +118,22 @@ def _text_key():
     return F.xxhash64(F.col("text").cast("string")).alias("text_key")
 
 
+def may_match(rows: DataFrame, key: str, keys: DataFrame, n: int, most: int = 1 << 26) -> DataFrame:
+    """``rows`` without most of those whose long ``key`` is not among the ``n`` longs of ``keys`` (one column, no nulls); none that matches is lost.
+
+    The keys set bits of a bitmap, 32 a key and ``most`` at most (8 MB), so that the rows of a join's larger side that find nothing
+    need not be shuffled.  With many more keys the bitmap fills up and lets more rows pass.
+    """
+    bits = min(most, 1 << max(15, (32 * n).bit_length()))
+    slot = lambda c: F.pmod(c, F.lit(bits)) + 1
+    marked = keys.select(slot(F.col(keys.columns[0])).alias("_slot")).withColumn("_page", F.bitmap_bucket_number("_slot")).repartition("_page")
+    marks = written(marked.groupBy("_page").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")), rows=n, per=1 << 17)
+    at = F.bitmap_bit_position(slot(F.col(key)))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    joined = rows.withColumn("_page", F.bitmap_bucket_number(slot(F.col(key)))).join(marks, "_page")
+    return joined.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, block: int = BLOCK, row: str | None = None) -> DataFrame:
     """One row per document: ``row, doc_id, n_shingles, component_id, kept, first``.
 
@@ -169,8 +185,9 @@ def _near_duplicates(docs: DataFrame, percent: int, width: int, block: int, row:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["group", "node", "shingles"])
 
     # One document per node brings its set; id and text hash name it, so rows with equal or no ids do not all meet.
-    wanted = family.join(nodes.select("node", "one"), "node").select(F.col("root").alias("group"), "node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
+    wanted = written(family.join(nodes.select("node", "one"), "node").select(F.col("root").alias("group"), "node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key")), rows=n)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), _text_key(), F.col("text").cast("string").alias("text"))
+    texts = may_match(texts, "text_key", wanted.select("_key"), wanted.count())
     full = texts.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))).select("group", "node", "text")
     full = written(full.mapInArrow(sets, "group bigint, node bigint, shingles binary").dropDuplicates(["node"]), rows=n, per=1 << 10)
     held = full.count()
@@ -212,5 +229,7 @@ def _near_duplicates(docs: DataFrame, percent: int, width: int, block: int, row:
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The documents of which ``near_duplicates`` says ``first``: one of each component, with all columns of ``docs``."""
     base = written(boxed(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()).drop("doc_id", "text"))
-    keep = near_duplicates(base.select("row", "_doc.doc_id", "_doc.text"), row="row", **how).where("first").select("row")
-    return base.join(keep, "row", "left_semi").select("_doc.*")
+    found = near_duplicates(base.select("row", "_doc.doc_id", "_doc.text"), row="row", **how)
+    # The rows that go are fewer than those that stay; written, their table's size tells whether documents must move.
+    gone = written(found.where("NOT first").select("row"), rows=found.count(), per=1 << 17)
+    return base.join(gone, "row", "left_anti").select("_doc.*")
