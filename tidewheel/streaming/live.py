@@ -152,13 +152,13 @@ def online_flags(events: DataFrame, n_train: int = 50, y: str = "y", late: str =
     Rows are put in time order (ties by value) across micro-batches: a row waits until the watermark, ``late`` behind the newest stamp, has passed
     its ``bucket`` of seconds, and rows later than that are dropped.  So flags do not depend on how rows are dealt to batches.  State per
     key: the rows of the open buckets and a few numbers.  The rows are kept as arrays over stretches of 256 buckets, one stretch at a time in memory,
-    so that state calls go by stretches and not by rows.  Rows without a value are left out.  Timers need the RocksDB state store, which is
+    so that state calls go by stretches and not by rows.  Rows without a value or stamp are left out.  Timers need the RocksDB state store, which is
     set for the session's streams here.
     """
     if n_train < 1:
         raise ValueError("n_train must be 1 at least")
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    d = events.where(F.col(y).isNotNull()).select("id", F.col("ts").cast("timestamp").alias("at"), F.col(y).cast("double").alias("y"))
+    d = events.where(F.col(y).isNotNull() & F.col("ts").isNotNull()).select("id", F.col("ts").cast("timestamp").alias("at"), F.col(y).cast("double").alias("y"))
     d = d.withWatermark("at", late).withColumn("us", F.unix_micros("at"))
     key = events.schema["id"].dataType.simpleString()
     out = d.groupBy("id").transformWithStateInPandas(_OrderedCharts(n_train, 1000 * bucket), f"id {key}, us bigint, pewma int, sd_ewma int, two_stage int", "append", "eventTime")
